@@ -19,11 +19,23 @@ def date_spine(spark: SparkSession, start: dt.date = SPINE_START, end: dt.date =
     return spark.range(1).select(F.explode(days).alias("calendar_date"))
 
 
+def date_spine_of(df: DataFrame, column: str) -> DataFrame:
+    """One row per day from the first to the last date of a column."""
+    day = F.col(column).cast("date")
+    span = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return span.select(F.explode(F.sequence("first", "last")).alias("calendar_date"))
+
+
 def dim_date(spark: SparkSession, start: dt.date = SPINE_START, end: dt.date = SPINE_END) -> DataFrame:
+    return date_attributes(date_spine(spark, start, end))
+
+
+def date_attributes(spine: DataFrame) -> DataFrame:
+    """Keys, names and flags of the days of a spine."""
     day = F.col("calendar_date")
     quarter = F.concat(F.lit("Q"), F.quarter(day).cast("string"))
     weekend = F.dayofweek(day).isin(1, 7)
-    return date_spine(spark, start, end).select(
+    return spine.select(
         date_key(day).alias("date_key"),
         day,
         F.year(day).alias("year"),

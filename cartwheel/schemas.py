@@ -60,3 +60,5 @@ ACTIVITY_LOG = _struct(
     ),
     properties=_struct(ab_test=_STR, language=_STR, currency=_STR, is_mobile=_BOOL),
 )
+# The record as read back from its ``ingest_date=`` folders.
+LANDED_LOG = T.StructType([*ACTIVITY_LOG.fields, T.StructField("ingest_date", T.DateType())])
