@@ -5,19 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.scalars import as_stamp, flag, money_sum, percent
+from cartwheel.functions.scalars import as_stamp, percent
 from cartwheel.operators.activity import exploded, row_key, type_flags
 
 
+NULL_SALTS = 4096
+
+
 def fact_user_behavior(logs: DataFrame, dim_products: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Actions with session context and the keys of the matching dimensions.
 
     A dimension with an ``is_current`` column is cut to its current rows.
+
+    Actions without a product (searches, checkout pages) are a large group
+    that matches nothing.  The salt spreads them over many tasks; a hot
+    product is split by the adaptive skew join.
     """
     catalogue = dim_products
     if "is_current" in catalogue.columns:
         catalogue = catalogue.where("is_current")
-    catalogue = catalogue.select("product_id", F.col("product_id").alias("product_key"))
+    catalogue = catalogue.select(
+        "product_id", F.col("product_id").alias("product_key"), F.lit(0).cast("bigint").alias("salt")
+    )
     days = dim_date.select(F.col("calendar_date").alias("action_date"), F.col("date_key").alias("date_key"))
 
     started = as_stamp("timestamp")
@@ -49,24 +58,46 @@ def fact_user_behavior(logs: DataFrame, dim_products: DataFrame, dim_date: DataF
         *type_flags("view", "add_to_cart", "purchase", "search"),
         "ingest_date",
     )
-    return rows.join(catalogue, "product_id", "left").join(days, "action_date", "left")
+    spread = F.pmod(F.xxhash64("behavior_id"), F.lit(NULL_SALTS))
+    salted = rows.withColumn("salt", F.when(F.col("product_id").isNull(), spread).otherwise(0))
+    return (
+        salted.join(catalogue, ["product_id", "salt"], "left").drop("salt").join(days, "action_date", "left")
+    )
 
 
 def fact_daily_metrics(behavior: DataFrame) -> DataFrame:
     """Exact distinct users and sessions, action totals and ratios per day,
-    traffic source and device."""
+    traffic source and device.
+
+    Spark copies every input row once per distinct count.  Actions are first
+    rolled up to sessions, so it copies sessions, and most of that roll-up
+    happens on the map side, where a session's actions lie together.
+    """
+    keys = [F.col("action_date").alias("metric_date"), "traffic_source", "device_type"]
     bought = F.col("is_purchase") == 1
-    daily = behavior.groupBy(F.col("action_date").alias("metric_date"), "traffic_source", "device_type").agg(
+    earned = F.when(bought, F.col("revenue")).otherwise(0.0).cast("decimal(18,4)")
+    per_session = behavior.groupBy(*keys, "user_id", "session_id").agg(
+        F.sum("is_view").alias("views"),
+        F.sum("is_search").alias("searches"),
+        F.sum("is_add_to_cart").alias("carts"),
+        F.sum("is_purchase").alias("purchases"),
+        F.sum(earned).cast("decimal(28,4)").alias("revenue"),
+        F.sum("session_duration").alias("duration"),
+        F.count("session_duration").alias("duration_rows"),
+        F.sum("session_page_views").alias("pages"),
+        F.count("session_page_views").alias("page_rows"),
+    )
+    daily = per_session.groupBy("metric_date", "traffic_source", "device_type").agg(
         F.count_distinct("user_id").alias("active_users"),
         F.count_distinct("session_id").alias("total_sessions"),
-        F.sum("is_view").alias("total_views"),
-        F.sum("is_search").alias("total_searches"),
-        F.sum("is_add_to_cart").alias("total_add_to_carts"),
-        F.sum("is_purchase").alias("total_purchases"),
-        money_sum(F.when(bought, F.col("revenue")).otherwise(0.0)).alias("total_revenue"),
-        F.avg("session_duration").alias("avg_session_duration"),
-        F.avg("session_page_views").alias("avg_page_views"),
-        F.count_distinct(F.when(bought, F.col("session_id"))).alias("converted_sessions"),
+        F.sum("views").alias("total_views"),
+        F.sum("searches").alias("total_searches"),
+        F.sum("carts").alias("total_add_to_carts"),
+        F.sum("purchases").alias("total_purchases"),
+        F.sum("revenue").cast("double").alias("total_revenue"),
+        F.try_divide(F.sum("duration"), F.sum("duration_rows")).alias("avg_session_duration"),
+        F.try_divide(F.sum("pages"), F.sum("page_rows")).alias("avg_page_views"),
+        F.count_distinct(F.when(F.col("purchases") > 0, F.col("session_id"))).alias("converted_sessions"),
     )
     return daily.withColumns(
         {

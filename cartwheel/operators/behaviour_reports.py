@@ -187,15 +187,25 @@ def source_performance(daily_metrics: DataFrame) -> DataFrame:
 
 
 def campaign_performance(behavior: DataFrame) -> DataFrame:
-    """Sessions, buyers' sessions and revenue per campaign."""
-    bought = F.col("is_purchase") == 1
-    return (
+    """Sessions, buyers' sessions and revenue per campaign.
+
+    Rolling up to sessions first turns both distinct counts into plain ones.
+    """
+    earned = F.when(F.col("is_purchase") == 1, F.col("revenue")).otherwise(0.0)
+    per_session = (
         behavior.where(F.col("utm_campaign").isNotNull())
-        .groupBy("utm_campaign")
+        .groupBy("utm_campaign", "session_id")
+        .agg(
+            F.max("is_purchase").alias("converted"),
+            F.sum(earned.cast("decimal(18,4)")).cast("decimal(28,4)").alias("revenue"),
+        )
+    )
+    return (
+        per_session.groupBy("utm_campaign")
         .agg(
-            F.count_distinct("session_id").alias("sessions"),
-            F.count_distinct(F.when(bought, F.col("session_id"))).alias("converted_sessions"),
-            money_sum(F.when(bought, F.col("revenue")).otherwise(0.0)).alias("revenue"),
+            F.count("session_id").alias("sessions"),
+            F.sum("converted").alias("converted_sessions"),
+            F.sum("revenue").cast("double").alias("revenue"),
         )
         .withColumn("conversion_rate", percent(F.col("converted_sessions"), F.col("sessions")))
     )

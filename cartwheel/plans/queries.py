@@ -28,7 +28,7 @@ from cartwheel.operators import (
     session_features,
 )
 from cartwheel.plans.jobs import behaviour_features
-from cartwheel.session import shared_dir, staged
+from cartwheel.session import prepare, shared_dir, staged
 from cartwheel.sinks import tables
 from cartwheel.sources import bronze, extract, shop_tables
 from cartwheel.streaming import ingest
@@ -59,7 +59,7 @@ class Shop:
     """The layers over one folder, built lazily and only as plans."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = prepare(spark), folder
 
     def bronze(self, table: str) -> DataFrame:
         return getattr(shop_tables, table)(self.spark, self.folder)
