@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.functions.scalars import flag
 from cartwheel.schemas import ACTION
 
 
@@ -22,15 +21,6 @@ def _cents(value: Column) -> Column:
     return F.floor(value * 100 + 0.5).cast("double") / 100
 
 
-def _pick(selector: Column, *choices: str | None) -> Column:
-    """The choice whose position equals ``selector``."""
-    out = F.lit(None).cast("string")
-    for position, choice in enumerate(choices):
-        if choice is not None:
-            out = F.when(selector == position, choice).otherwise(out)
-    return out
-
-
 def _category_id(name: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 7), 16, 10).cast("bigint")
 
@@ -119,7 +109,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
             F.substring_index(name, "#", -1).alias("last_name"),
             F.when(key % 7 != 0, F.concat(F.lower(name), F.lit("@example.com"))).alias("email"),
             F.concat(F.lit(" +"), (key + 1000000).cast("string")).alias("phone_number"),
-            _pick(key % 2, "F", "M").alias("gender"),
+            F.when(key % 2 == 0, "F").otherwise("M").alias("gender"),
             F.col("c_mktsegment").alias("tier"),
             "address",
             F.lit("2020-01-01 00:00:00").alias("created_at"),
@@ -162,101 +152,88 @@ STEPS = (
 )
 
 
-def _action(kind: str, page: str, position: int) -> Column:
-    """One action struct; fields an action type does not carry stay NULL."""
-    k = F.col("k")
-    at_product = kind != "search" and not (kind == "view" and page == "/checkout")
-    values = {
-        "type": F.lit(kind),
-        "page": F.lit(page),
-        "time_offset": (k + 1) * 10 * position,
-        "rating": k % 5 + 1 if kind == "review" else None,
-        "search_term": F.concat(F.lit("term-"), (k % 25).cast("string")) if kind == "search" else None,
-        "results_count": k % 3 if kind == "search" else None,
-        "order_id": F.concat(F.lit("ord-"), F.col("event_id").cast("string")) if kind == "purchase" else None,
-        "total_amount": F.col("value") if kind == "purchase" else None,
-        "quantity": k % 3 + 1 if kind in ("add_to_cart", "purchase") else None,
-    }
-    if at_product:
-        values["product_id"] = k
-        values["price"] = (k + 9000) / F.lit(10.0)
-    if at_product and kind == "view":
-        values["category"] = F.concat(F.lit("category-"), (k % 8).cast("string"))
-    return F.struct(
-        *[
-            (F.lit(None) if values.get(field.name) is None else values[field.name])
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in ACTION.fields
-        ]
+def _steps() -> str:
+    """The steps of the row's event type, from a constant map."""
+    by_type: dict[str, list[str]] = {}
+    for event_type, kind, page, rule in STEPS:
+        remainder = "int(NULL)" if rule is None else str(rule)
+        by_type.setdefault(event_type, []).append(
+            f"named_struct('kind', '{kind}', 'page', '{page}', 'rule', {remainder})"
+        )
+    entries = ", ".join(f"'{name}', array({', '.join(steps)})" for name, steps in by_type.items())
+    return f"try_element_at(map({entries}), event_type)"
+
+
+# An action's fields by step ``s`` at position ``i``; the others stay NULL.
+AT_PRODUCT = "s.kind <> 'search' AND NOT (s.kind = 'view' AND s.page = '/checkout')"
+ACTION_FIELDS = {
+    "type": "s.kind",
+    "page": "s.page",
+    "time_offset": "(k + 1) * 10 * i",
+    "product_id": f"CASE WHEN {AT_PRODUCT} THEN k END",
+    "price": f"CASE WHEN {AT_PRODUCT} THEN (k + 9000) / 10D END",
+    "category": f"CASE WHEN s.kind = 'view' AND {AT_PRODUCT} THEN concat('category-', k % 8) END",
+    "quantity": "CASE WHEN s.kind IN ('add_to_cart', 'purchase') THEN k % 3 + 1 END",
+    "search_term": "CASE WHEN s.kind = 'search' THEN concat('term-', k % 25) END",
+    "results_count": "CASE WHEN s.kind = 'search' THEN k % 3 END",
+    "rating": "CASE WHEN s.kind = 'review' THEN k % 5 + 1 END",
+    "order_id": "CASE WHEN s.kind = 'purchase' THEN concat('ord-', event_id) END",
+    "total_amount": "CASE WHEN s.kind = 'purchase' THEN value END",
+}
+
+
+def _actions() -> str:
+    """At most four actions per event.  Steps whose remainder rule does not
+    hold are left out, so an array can be empty; a search is left out where
+    its rule does hold."""
+    kept = f"filter({_steps()}, s -> s.rule IS NULL OR (k % s.rule = 0) <> (s.kind = 'search'))"
+    fields = ", ".join(
+        f"'{f.name}', CAST({ACTION_FIELDS.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+        for f in ACTION.fields
     )
+    return f"transform({kept}, (s, i) -> named_struct({fields}))"
 
 
-def _actions() -> Column:
-    """At most four actions per event.  The last step of some event types
-    appears only where its remainder rule holds, so arrays can be empty."""
-    out = None
-    for event_type in dict.fromkeys(step[0] for step in STEPS):
-        steps = [step for step in STEPS if step[0] == event_type]
-        full = F.array(*[_action(kind, page, at) for at, (_, kind, page, _) in enumerate(steps)])
-        rule = steps[-1][3]
-        if rule is not None:
-            # ``error`` keeps its search except where the rule holds.
-            shorter = F.slice(full, 1, len(steps) - 1)
-            holds = F.col("k") % rule == 0
-            full = F.when(holds if len(steps) > 1 else ~holds, full).otherwise(shorter)
-        condition = F.col("event_type") == event_type
-        out = F.when(condition, full) if out is None else out.when(condition, full)
-    return out
+def _choice(selector: str, *choices: str | None) -> str:
+    """The choice whose position equals ``selector``."""
+    cases = " ".join(f"WHEN {at} THEN '{text}'" for at, text in enumerate(choices) if text is not None)
+    return f"CASE {selector} {cases} END"
 
 
 def activity_logs(spark: SparkSession, folder: str) -> DataFrame:
     """One nested session record per event."""
-    user, k = F.col("user_id"), F.col("k")
     base = (
         _read(spark, folder, "events")
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .withColumn("actions", _actions())
+        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS int) AS k")
+        # Exploding a one-element array makes the actions a plain column, so
+        # filters on them do not build them once more.
+        .selectExpr("*", f"explode(array({_actions()})) AS actions")
     )
-    steps = F.size("actions")
-    duration = F.when(steps == 0, 0).otherwise((k + 1) * 10 * (steps - 1) + k % 30)
-    bought = F.col("event_type") == "purchase"
-    return base.select(
-        F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("event_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-        F.when(user % 10 != 9, user).alias("user_id"),
-        _pick(user % 4, "vip", "loyal", "returning", "new").alias("user_segment"),
-        F.concat(F.lit("sess-"), F.col("event_id").cast("string")).alias("session_id"),
-        F.struct(
-            _pick(user % 3, "mobile", "desktop", "tablet").alias("type"),
-            _pick(user % 3, "android", "linux", "ios").alias("os"),
-            _pick(user % 2, "firefox", "chrome").alias("browser"),
-            F.lit("1.0").alias("version"),
-        ).alias("device"),
-        F.struct(
-            F.concat(F.lit("city-"), (user % 12).cast("string")).alias("city"),
-            F.lit("VN").alias("country"),
-            F.struct(
-                (user % 90).cast("double").alias("lat"), (user % 180).cast("double").alias("lon")
-            ).alias("coordinates"),
-        ).alias("location"),
-        F.concat(F.lit("https://ref"), (user % 5).cast("string")).alias("referrer"),
-        _pick(user % 3, "search_engine", "social", "direct").alias("referrer_type"),
-        _pick(user % 6, "email", "paid_ads", "organic", "social", "referral", None).alias("source"),
-        F.when(k % 3 == 0, F.concat(F.lit("camp-"), (k % 5).cast("string"))).alias("campaign"),
+    duration = "CASE WHEN size(actions) = 0 THEN 0 ELSE (k + 1) * 10 * (size(actions) - 1) + k % 30 END"
+    return base.selectExpr(
+        "concat('evt-', event_id) AS event_id",
+        """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'") AS timestamp""",
+        "CASE WHEN user_id % 10 <> 9 THEN user_id END AS user_id",
+        f"{_choice('user_id % 4', 'vip', 'loyal', 'returning', 'new')} AS user_segment",
+        "concat('sess-', event_id) AS session_id",
+        f"""named_struct('type', {_choice('user_id % 3', 'mobile', 'desktop', 'tablet')},
+                         'os', {_choice('user_id % 3', 'android', 'linux', 'ios')},
+                         'browser', {_choice('user_id % 2', 'firefox', 'chrome')},
+                         'version', '1.0') AS device""",
+        """named_struct('city', concat('city-', user_id % 12), 'country', 'VN',
+                        'coordinates', named_struct('lat', CAST(user_id % 90 AS double),
+                                                    'lon', CAST(user_id % 180 AS double))) AS location""",
+        "concat('https://ref', user_id % 5) AS referrer",
+        f"{_choice('user_id % 3', 'search_engine', 'social', 'direct')} AS referrer_type",
+        f"{_choice('user_id % 6', 'email', 'paid_ads', 'organic', 'social', 'referral', None)} AS source",
+        "CASE WHEN k % 3 = 0 THEN concat('camp-', k % 5) END AS campaign",
         "actions",
-        F.struct(
-            duration.cast("int").alias("duration_seconds"),
-            F.size(F.filter("actions", lambda a: a["type"] == "view")).alias("page_views"),
-            steps.alias("actions_count"),
-            bought.alias("has_purchase"),
-            F.when(bought, F.col("value")).otherwise(0.0).alias("revenue"),
-        ).alias("session_metrics"),
-        F.struct(
-            _pick(user % 2, "A", "B").alias("ab_test"),
-            F.lit("vi").alias("language"),
-            F.lit("VND").alias("currency"),
-            (flag(user % 3 == 0) == 1).alias("is_mobile"),
-        ).alias("properties"),
-        F.to_date("ts").alias("ingest_date"),
+        f"""named_struct('duration_seconds', {duration},
+                         'page_views', size(filter(actions, a -> a.type = 'view')),
+                         'actions_count', size(actions),
+                         'has_purchase', event_type = 'purchase',
+                         'revenue', CASE WHEN event_type = 'purchase' THEN value ELSE 0D END) AS session_metrics""",
+        f"""named_struct('ab_test', {_choice('user_id % 2', 'A', 'B')}, 'language', 'vi', 'currency', 'VND',
+                         'is_mobile', user_id % 3 = 0) AS properties""",
+        "to_date(ts) AS ingest_date",
     )
