@@ -33,7 +33,7 @@ def funnel(behavior: DataFrame, since: dt.date | str | None = None) -> DataFrame
             "cart_to_purchase_pct": percent(bought, carts),
             "overall_conversion_pct": percent(bought, views),
         }
-    )
+    ).orderBy(F.desc("action_date"))
 
 
 def channel_performance(daily_metrics: DataFrame, since: dt.date | str | None = None) -> DataFrame:
@@ -54,6 +54,7 @@ def channel_performance(daily_metrics: DataFrame, since: dt.date | str | None =
             mean("avg_order_value").alias("avg_order_value"),
         )
         .withColumn("revenue_per_user", F.try_divide("revenue", "total_users"))
+        .orderBy(F.desc("revenue"), "traffic_source", "device_type")
     )
 
 

@@ -87,7 +87,7 @@ def daily_sales(totals: DataFrame, dim_date: DataFrame, since: dt.date | str | N
         "daily_revenue",
         "order_count",
         F.try_divide("daily_revenue", "line_count").alias("avg_line_item_value"),
-    )
+    ).orderBy(F.desc("calendar_date"))
 
 
 def tier_value(totals: DataFrame, dim_customers: DataFrame) -> DataFrame:
@@ -112,12 +112,11 @@ def tier_value(totals: DataFrame, dim_customers: DataFrame) -> DataFrame:
         "total_revenue",
         quotient(F.col("total_revenue"), F.col("customer_count")).alias("revenue_per_customer"),
         quotient(F.col("orders"), F.col("customer_count")).alias("avg_orders_per_customer"),
-    )
+    ).orderBy(F.desc("total_revenue"), "customer_tier")
 
 
 def weekday_sales(totals: DataFrame, dim_date: DataFrame, since: dt.date | str | None = None) -> DataFrame:
-    """Orders and revenue by day of week, Monday first when sorted by
-    ``day_of_week``."""
+    """Orders and revenue by day of week, Monday first."""
     per_day = (
         totals.where(since_key(since))
         .groupBy("date_key")
@@ -140,6 +139,7 @@ def weekday_sales(totals: DataFrame, dim_date: DataFrame, since: dt.date | str |
         )
         .withColumn("avg_transaction_value", F.try_divide("total_revenue", "lines"))
         .drop("lines")
+        .orderBy("day_of_week")
     )
 
 
@@ -169,14 +169,15 @@ def revenue_by_period(totals: DataFrame, period: str) -> DataFrame:
     )
 
 
-def period_growth(totals: DataFrame, *group: str) -> DataFrame:
-    """Change against the previous period of ``revenue_by_period``-like rows.
+def period_growth(totals: DataFrame, *group: str, periods: int = 1) -> DataFrame:
+    """Change against an earlier period of ``revenue_by_period``-like rows.
 
-    The window runs over period totals, one row per period and group, so it
+    ``periods=1`` compares with the period before, 12 on months or 52 on weeks
+    with the year before.  The window runs over period totals, one row per period and group, so it
     is bounded by the calendar.
     """
     previous = Window.partitionBy(*group).orderBy("period_start")
-    before = F.lag("revenue").over(previous)
+    before = F.lag("revenue", periods).over(previous)
     return totals.select(
         *group,
         "period_start",

@@ -137,7 +137,7 @@ def conversion_by(features: DataFrame, *keys: str) -> DataFrame:
         F.count(F.lit(1)).alias("sessions"),
         F.avg(bought).alias("conversion_rate"),
         F.avg("duration_seconds").alias("avg_duration"),
-    )
+    ).orderBy(F.desc("conversion_rate"), *keys)
 
 
 def label_counts(features: DataFrame, label: str = "label") -> DataFrame:

@@ -328,13 +328,13 @@ def _period(unit: str) -> str:
     )
 
 
-def _growth(group: str, source: str, *layers: str) -> str:
+def _growth(group: str, source: str, *layers: str, periods: int = 1) -> str:
     partition = f"PARTITION BY {group}" if group else ""
     shown = f"{group}, " if group else ""
     return _with(
         f"""SELECT {shown}{_day('period_start')} AS period_start, revenue, before AS previous_revenue,
                    (revenue - before) / nullif(before, 0) AS growth
-            FROM (SELECT *, lag(revenue) OVER ({partition} ORDER BY period_start) AS before FROM ({source}))""",
+            FROM (SELECT *, lag(revenue, {periods}) OVER ({partition} ORDER BY period_start) AS before FROM ({source}))""",
         *layers,
     )
 
@@ -626,6 +626,8 @@ def statements() -> dict[str, str]:
         "revenue_by_week": _period("week"),
         "revenue_by_month": _period("month"),
         "period_growth": _growth("", _PERIOD.format("month"), "po"),
+        "growth_week_over_week": _growth("", _PERIOD.format("week"), "po"),
+        "growth_year_over_year": _growth("", _PERIOD.format("month"), "po", periods=12),
         "category_growth": _growth(
             "category",
             f"""SELECT category, CAST(date_trunc('month', order_date) AS DATE) AS period_start,
@@ -670,6 +672,9 @@ def statements() -> dict[str, str]:
             "SELECT customer_key, max(order_date) AS last FROM fo GROUP BY 1",
             "last < DATE '2001-08-01' - 90", "churned_customers", "churn_rate", "fo",
         ),
+        "bronze_json_sessions": _with(
+            f"SELECT * REPLACE ({_stamp('timestamp')} AS timestamp) FROM us", "us"
+        ),
         "user_sessions": _with(f"SELECT * REPLACE ({_stamp('timestamp')} AS timestamp) FROM us", "us"),
         "session_actions": _SESSION_ACTIONS,
         "stream_ingest_actions": _SESSION_ACTIONS,

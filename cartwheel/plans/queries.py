@@ -225,6 +225,14 @@ _plain(
     "period_growth",
     lambda s: sales_reports.period_growth(sales_reports.revenue_by_period(s.totals, "month")),
 )
+_plain(
+    "growth_week_over_week",
+    lambda s: sales_reports.period_growth(sales_reports.revenue_by_period(s.totals, "week")),
+)
+_plain(
+    "growth_year_over_year",
+    lambda s: sales_reports.period_growth(sales_reports.revenue_by_period(s.totals, "month"), periods=12),
+)
 _plain(
     "category_growth",
     lambda s: sales_reports.period_growth(
@@ -477,6 +485,14 @@ def bronze_csv_orders(s: Shop) -> DataFrame:
     return oltp.orders(bronze.read_bronze_csv(s.spark, "orders", path))
 
 
+@query
+def bronze_json_sessions(s: Shop) -> DataFrame:
+    """Session records written as JSON lines by day, read back and flattened."""
+    path = shared_dir(s.spark, "json")
+    bronze.land_activity_logs(s.logs, path)
+    return activity.user_sessions(bronze.read_activity_logs(s.spark, path))
+
+
 @query
 def extract_month_items(s: Shop) -> DataFrame:
     return extract.extract_month_items(s.bronze("order_items"), s.orders, 1998, 12)
