@@ -24,9 +24,10 @@ def fact_user_behavior(logs: DataFrame, dim_products: DataFrame, dim_date: DataF
     catalogue = dim_products
     if "is_current" in catalogue.columns:
         catalogue = catalogue.where("is_current")
-    catalogue = catalogue.select(
-        "product_id", F.col("product_id").alias("product_key"), F.lit(0).cast("bigint").alias("salt")
-    )
+    # Always 0, but not as a literal: the optimiser would turn a literal into a
+    # filter and partition on the product alone again.
+    zero = F.pmod(F.col("product_id"), F.lit(1)).cast("bigint").alias("salt")
+    catalogue = catalogue.select("product_id", F.col("product_id").alias("product_key"), zero)
     days = dim_date.select(F.col("calendar_date").alias("action_date"), F.col("date_key").alias("date_key"))
 
     started = as_stamp("timestamp")
@@ -59,7 +60,7 @@ def fact_user_behavior(logs: DataFrame, dim_products: DataFrame, dim_date: DataF
         "ingest_date",
     )
     spread = F.pmod(F.xxhash64("behavior_id"), F.lit(NULL_SALTS))
-    salted = rows.withColumn("salt", F.when(F.col("product_id").isNull(), spread).otherwise(0))
+    salted = rows.withColumn("salt", F.when(F.col("product_id").isNull(), spread).otherwise(F.lit(0).cast("bigint")))
     return (
         salted.join(catalogue, ["product_id", "salt"], "left").drop("salt").join(days, "action_date", "left")
     )

@@ -87,23 +87,61 @@ def behaviour_features(logs: DataFrame, include_anonymous: bool = False) -> Data
     return daily_metrics.user_behavior_features(daily, include_anonymous=include_anonymous)
 
 
+def _touched_days(batch: DataFrame, stored: DataFrame | None, key: str, column: str) -> set[dt.date]:
+    """Days of a batch's rows and of the stored rows they replace.
+
+    A handful of dates, whatever the number of rows.
+    """
+    day = F.col(column).cast("date").alias("day")
+    days = batch.select(day)
+    if stored is not None:
+        days = days.unionByName(stored.join(batch.select(key), key, "left_semi").select(day))
+    return {r.day for r in days.distinct().collect() if r.day is not None}
+
+
+def _on_days(rows: DataFrame, column: str, days: list[dt.date]) -> DataFrame:
+    """Rows of the given days.  The range on the bare column lets the file
+    statistics skip everything outside it."""
+    stamp = F.col(column)
+    after = F.lit(days[-1] + dt.timedelta(days=1)).cast("timestamp")
+    in_range = (stamp >= F.lit(days[0]).cast("timestamp")) & (stamp < after)
+    return rows.where(in_range & stamp.cast("date").isin(*days))
+
+
 def daily_behaviour(spark: SparkSession, lake: Lake, logs: DataFrame, etl_date: dt.date) -> None:
-    """One ingest day into the silver log tables, then the features anew."""
-    sessions = staged(activity.user_sessions(logs, etl_date), "sessions")
-    actions = staged(activity.session_actions(logs, etl_date), "actions")
-    quality.run_checks(
-        quality.activity_checks(), {"user_sessions": sessions, "session_actions": actions}
-    )
-    paths = {name: lake.path("silver", name) for name in ("user_sessions", "session_actions")}
-    tables.merge_into(sessions, paths["user_sessions"], ["session_id"], DAY_PARTITIONS)
-    tables.merge_into(actions, paths["session_actions"], ["action_id"], DAY_PARTITIONS)
-    stored = {name: spark.read.parquet(path) for name, path in paths.items()}
-    known = stored["user_sessions"].where(F.col("user_id").isNotNull())
-    daily = daily_metrics.user_daily_metric(
-        daily_metrics.sessions_daily(known),
-        daily_metrics.actions_daily(stored["session_actions"], known),
-    )
-    features = daily_metrics.user_behavior_features(daily)
+    """One ingest day into the silver log tables, its user-days, the features.
+
+    Only the user-days of the dates the batch touches are computed again,
+    including dates that lose a corrected session.  The window of the features
+    then runs over stored user-days, not over sessions and actions.  Stored
+    actions carry the user they arrived with, so they need no join to the
+    sessions.
+    """
+    batches = {
+        "user_sessions": ("session_id", "timestamp", staged(activity.user_sessions(logs, etl_date), "sessions")),
+        "session_actions": (
+            "action_id", "action_timestamp",
+            staged(activity.session_actions(logs, etl_date, carry_user=True), "actions"),
+        ),
+    }
+    quality.run_checks(quality.activity_checks(), {name: batch for name, (_, _, batch) in batches.items()})
+    touched: set[dt.date] = set()
+    stored: dict[str, DataFrame] = {}
+    for name, (key, stamp, batch) in batches.items():
+        path = lake.path("silver", name)
+        before = spark.read.schema(batch.schema).parquet(path) if tables.table_exists(spark, path) else None
+        touched |= _touched_days(batch, before, key, stamp)
+        tables.merge_into(batch, path, [key], DAY_PARTITIONS)
+        stored[name] = spark.read.schema(batch.schema).parquet(path).where(F.col("user_id").isNotNull())
+    user_days = lake.path("ml", "user_daily_metric")
+    if touched:
+        days = sorted(touched)
+        daily = daily_metrics.user_daily_metric(
+            daily_metrics.sessions_daily(_on_days(stored["user_sessions"], "timestamp", days)),
+            daily_metrics.actions_daily(_on_days(stored["session_actions"], "action_timestamp", days)),
+        )
+        tables.replace_partitions(daily, user_days, "activity_date", days)
+    features = daily_metrics.user_behavior_features(spark.read.parquet(user_days))
     features.write.mode("overwrite").parquet(lake.path("ml", "user_behavior_3d_agg_feature"))
 
 

@@ -46,13 +46,13 @@ def portable(df: DataFrame) -> DataFrame:
     """Dates and times as text, so any engine's rows compare equal."""
     shown = []
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        name = column = f"`{field.name}`"
         if isinstance(field.dataType, DateType):
-            column = column.cast("string")
+            column = f"CAST({name} AS string)"
         elif isinstance(field.dataType, TimestampType):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-        shown.append(column.alias(field.name))
-    return df.select(*shown)
+            column = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')"
+        shown.append(f"{column} AS {name}")
+    return df.selectExpr(*shown)
 
 
 class Shop:

@@ -80,6 +80,16 @@ def test_daily_jobs(spark, folder, rows):
     at_once = jobs.behaviour_features(logs)
     assert rows(features, *sorted(features.columns)) == rows(at_once, *sorted(at_once.columns))
 
+    # A late session, and a known one that comes again with another start and user.
+    fixed = session("s1-2024-01-02", 2, "2024-01-03T08:00:00Z", [action("view", 0, product_id=5)], day=days[2])
+    late = session("late", 3, "2024-01-01T08:00:00Z", [action("view", 0)], day=days[2])
+    kept = [s for s in shop if s[4] != "s1-2024-01-02"]
+    second = frame(spark, *[s for s in kept if s[-1] == days[2]], fixed, late)
+    jobs.daily_behaviour(spark, lake, second, days[2])
+    at_once = jobs.behaviour_features(frame(spark, *kept, fixed, late))
+    features = spark.read.parquet(lake.path("ml", "user_behavior_3d_agg_feature"))
+    assert rows(features, *sorted(features.columns)) == rows(at_once, *sorted(at_once.columns))
+
     model = learning.fit(
         learning.next_day_pipeline(),
         learning.prepared(features, learning.DAILY_FEATURES, "label_purchase_tomorrow"),
