@@ -32,7 +32,8 @@ def fact_user_behavior(logs: DataFrame, dim_products: DataFrame, dim_date: DataF
 
     started = as_stamp("timestamp")
     rows = exploded(
-        logs, "event_id", "session_id", "user_id", "timestamp", "device", "location",
+        logs, ("type", "product_id", "search_term", "order_id", "total_amount"),
+        "event_id", "session_id", "user_id", "timestamp", "device", "location",
         "source", "campaign", "session_metrics", "ingest_date",
     ).select(
         row_key("event_id").alias("behavior_id"),

@@ -236,7 +236,7 @@ def marketing_cost(daily_metrics: DataFrame, spend: DataFrame, new_customers: Da
 
 def search_terms(logs: DataFrame) -> DataFrame:
     """Searches per term, and how many of them found nothing."""
-    rows = exploded(logs).where(F.col("action.type") == "search")
+    rows = exploded(logs, ("type", "search_term", "results_count")).where(F.col("action.type") == "search")
     return rows.groupBy(F.col("action.search_term").alias("search_term")).agg(
         F.count(F.lit(1)).alias("searches"),
         F.sum(flag(F.col("action.results_count") == 0)).alias("searches_without_results"),

@@ -28,6 +28,8 @@ SESSION_MEASURES = {
     "total_revenue": 0.0,
     "has_purchase_today": 0,
 }
+# The action columns ``actions_daily`` reads besides the flags.
+DAILY_ACTION_COLUMNS = ("product_id", "product_price", "revenue")
 ACTION_MEASURES = {**dict.fromkeys(ACTION_COUNTS, 0), "distinct_products_viewed": 0, "avg_product_price": 0.0}
 
 

@@ -93,23 +93,27 @@ def session_features_from_logs(logs: DataFrame) -> DataFrame:
     A record holds all actions of its session, so array functions replace the
     explode, the aggregation and the join: no shuffle at all.
     """
-    actions = F.coalesce("actions", F.array())
+
+    def values(field: str) -> Column:
+        """The field of all actions; reads no other field."""
+        return F.coalesce(F.col(f"actions.{field}"), F.array())
 
     def count_of(kind: str) -> Column:
-        return F.size(F.filter(actions, lambda a: a["type"] == kind)).cast("bigint")
+        return F.size(F.filter(values("type"), lambda t: t == kind)).cast("bigint")
 
     def known(field: str) -> Column:
-        return F.filter(F.transform(actions, lambda a: a[field]), lambda v: v.isNotNull())
+        return F.filter(values(field), lambda v: v.isNotNull())
 
     prices = known("price")
     total = F.aggregate(
         prices, F.lit(0).cast("decimal(28,4)"),
         lambda acc, p: (acc + p.cast("decimal(18,4)")).cast("decimal(28,4)"),
     )
+    pages = F.arrays_zip(values("type").alias("type"), values("page").alias("page"))
     nested = {
         **{name: count_of(kind) for name, kind in TYPE_COUNTS.items()},
         "has_checkout_view": flag(
-            F.exists(actions, lambda a: (a["type"] == "view") & (a["page"] == "/checkout"))
+            F.exists(pages, lambda a: (a["type"] == "view") & (a["page"] == "/checkout"))
         ),
         "unique_products_viewed": F.size(F.array_distinct(known("product_id"))).cast("bigint"),
         "unique_categories_viewed": F.size(F.array_distinct(known("category"))).cast("bigint"),
@@ -157,8 +161,7 @@ def feature_profile(features: DataFrame) -> DataFrame:
 
 def time_to_first_action(logs: DataFrame) -> DataFrame:
     """Smallest action offset of each session, NULL when it has no action."""
-    offsets = F.transform("actions", lambda a: a["time_offset"])
-    return logs.select("session_id", F.array_min(offsets).alias("time_to_first_action"))
+    return logs.select("session_id", F.array_min("actions.time_offset").alias("time_to_first_action"))
 
 
 def hour_bucket(hour: Column | str) -> Column:

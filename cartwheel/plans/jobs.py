@@ -82,7 +82,9 @@ def behaviour_features(logs: DataFrame, include_anonymous: bool = False) -> Data
     """
     known = logs if include_anonymous else logs.where(F.col("user_id").isNotNull())
     sessions = daily_metrics.sessions_daily(activity.user_sessions(known))
-    actions = daily_metrics.actions_daily(activity.session_actions(known, carry_user=True))
+    actions = daily_metrics.actions_daily(
+        activity.session_actions(known, carry_user=True, keep=daily_metrics.DAILY_ACTION_COLUMNS)
+    )
     daily = daily_metrics.user_daily_metric(sessions, actions)
     return daily_metrics.user_behavior_features(daily, include_anonymous=include_anonymous)
 

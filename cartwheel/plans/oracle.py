@@ -502,6 +502,7 @@ _SILVER_ORDERS = _with(
                year, month, day FROM so""",
     "so",
 )
+_FACT_ORDER_ITEMS = _with("SELECT * EXCLUDE (order_id, order_date) FROM fs", "fs")
 _SESSION_FEATURES = _with("SELECT * FROM sf", "sf")
 _SESSION_ACTIONS = _with(
     f"""SELECT md5(session_id || idx) AS action_id, session_id,
@@ -589,7 +590,8 @@ def statements() -> dict[str, str]:
             "so",
         ),
         "fact_orders": _with("SELECT * EXCLUDE (order_date) FROM fo", "fo"),
-        "fact_order_items": _with("SELECT * EXCLUDE (order_id, order_date) FROM fs", "fs"),
+        "fact_order_items": _FACT_ORDER_ITEMS,
+        "fact_order_items_from_silver": _FACT_ORDER_ITEMS,
         "fact_sale_product_daily": _with(
             f"""SELECT date_key || '_' || product_key AS product_date_key, date_key, product_key,
                        {_money('sub_total')} AS total_sales_amt, {_count('quantity')} AS total_quantity_sold,

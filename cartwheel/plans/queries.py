@@ -193,7 +193,8 @@ _plain("dim_products", lambda s: s.dim_products)
 _plain("dim_customers", lambda s: s.dim_customers)
 _plain("dim_payment_method", lambda s: dimensions.dim_payment_method(s.payment_method))
 _plain("fact_orders", lambda s: s.fact_orders)
-_plain("fact_order_items", lambda s: facts.fact_order_items(s.orders_items, s.orders))
+_plain("fact_order_items", lambda s: s.sales.drop("order_id"))
+_plain("fact_order_items_from_silver", lambda s: facts.fact_order_items(s.orders_items, s.orders))
 _plain("fact_sale_product_daily", lambda s: facts.fact_sale_product_daily(s.sales))
 
 

@@ -110,3 +110,23 @@ def test_winsorised_clamps_to_quantiles(spark, rows):
 def test_conversion_by_stage(logs, rows):
     out = session_features.conversion_by(session_features.session_features_from_logs(logs), "reached_cart")
     assert rows(out, "reached_cart", "sessions", "conversion_rate") == [(0, 3, 0.0), (1, 1, 1.0)]
+
+
+def read_schema(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("ReadSchema"):]
+
+
+def test_only_wanted_action_fields_are_read(spark, logs, folder):
+    from cartwheel.operators.behaviour_reports import search_terms
+    from cartwheel.schemas import LANDED_LOG
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    logs.write.partitionBy("ingest_date").parquet(f"{folder}/logs")
+    stored = spark.read.schema(LANDED_LOG).parquet(f"{folder}/logs")
+    assert "actions:array<struct<type:string,search_term:string,results_count:int>>" in read_schema(search_terms(stored))
+    for df in (activity.session_actions(stored), session_features.session_features_from_logs(stored)):
+        assert "items:" not in read_schema(df) and "product_name" not in read_schema(df)
+    day = activity.session_actions(stored, "2024-01-02")
+    assert "PartitionFilters: [isnotnull(ingest_date" in day._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
