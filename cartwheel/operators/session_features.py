@@ -99,25 +99,25 @@ def session_features_from_logs(logs: DataFrame) -> DataFrame:
         return F.coalesce(F.col(f"actions.{field}"), F.array())
 
     def count_of(kind: str) -> Column:
-        return F.size(F.filter(values("type"), lambda t: t == kind)).cast("bigint")
+        others = F.array_remove(values("type"), kind)
+        return (F.size(values("type")) - F.size(others)).cast("bigint")
 
-    def known(field: str) -> Column:
-        return F.filter(values(field), lambda v: v.isNotNull())
+    def distinct_of(field: str) -> Column:
+        return F.size(F.array_compact(F.array_distinct(values(field)))).cast("bigint")
 
-    prices = known("price")
+    prices = values("price")
     total = F.aggregate(
-        prices, F.lit(0).cast("decimal(28,4)"),
+        F.array_compact(prices), F.lit(0).cast("decimal(28,4)"),
         lambda acc, p: (acc + p.cast("decimal(18,4)")).cast("decimal(28,4)"),
     )
     pages = F.arrays_zip(values("type").alias("type"), values("page").alias("page"))
+    checkout = F.struct(F.lit("view").alias("type"), F.lit("/checkout").alias("page"))
     nested = {
         **{name: count_of(kind) for name, kind in TYPE_COUNTS.items()},
-        "has_checkout_view": flag(
-            F.exists(pages, lambda a: (a["type"] == "view") & (a["page"] == "/checkout"))
-        ),
-        "unique_products_viewed": F.size(F.array_distinct(known("product_id"))).cast("bigint"),
-        "unique_categories_viewed": F.size(F.array_distinct(known("category"))).cast("bigint"),
-        "avg_product_price": F.try_divide(total.cast("double"), F.size(prices)),
+        "has_checkout_view": flag(F.array_contains(pages, checkout)),
+        "unique_products_viewed": distinct_of("product_id"),
+        "unique_categories_viewed": distinct_of("category"),
+        "avg_product_price": F.try_divide(total.cast("double"), F.size(F.array_compact(prices))),
         "max_price_viewed": F.array_max(prices),
         "min_price_viewed": F.array_min(prices),
     }

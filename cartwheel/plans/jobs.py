@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.operators import activity, campaign, daily_metrics, dimensions, facts, learning, oltp, quality
-from cartwheel.session import staged
+from cartwheel.session import prepare, staged
 from cartwheel.sinks import tables
 
 DAY_PARTITIONS = ("year", "month", "day")
@@ -46,6 +46,7 @@ def monthly_sales_mart(
     Items meet their orders once; silver items and the sales fact are both
     read from that joined, stored slice.
     """
+    prepare(spark)
     silver = silver_dimensions(bronze)
     keep = (F.col("year") == year) & (F.col("month") == month)
     orders = staged(oltp.orders(bronze["orders"], year, month), "orders")
@@ -119,6 +120,7 @@ def daily_behaviour(spark: SparkSession, lake: Lake, logs: DataFrame, etl_date:
     actions carry the user they arrived with, so they need no join to the
     sessions.
     """
+    prepare(spark)
     batches = {
         "user_sessions": ("session_id", "timestamp", staged(activity.user_sessions(logs, etl_date), "sessions")),
         "session_actions": (
@@ -151,6 +153,7 @@ def daily_prediction(
     spark: SparkSession, lake: Lake, model: PipelineModel, customers: DataFrame, day: dt.date
 ) -> None:
     """Scores one day, replaces that day's predictions, updates the campaign."""
+    prepare(spark)
     features = spark.read.parquet(lake.path("ml", "user_behavior_3d_agg_feature"))
     predictions = lake.path("ml", "next_day_purchase_prediction")
     tables.replace_partition(learning.score_day(model, features, day), predictions, "prediction_date", day)
