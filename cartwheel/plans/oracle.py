@@ -7,6 +7,7 @@ as text, as the Spark side shows them.
 
 from __future__ import annotations
 
+from cartwheel.plans.queries import NULLABLE_NUMBERS
 from cartwheel.sources.shop_tables import STEPS
 
 
@@ -533,7 +534,15 @@ _SOURCES = f"""
 
 
 def statements() -> dict[str, str]:
-    """Query name to SQL."""
+    """Query name to SQL, nullable whole numbers shown as text."""
+    shown = _statements()
+    for name, columns in NULLABLE_NUMBERS.items():
+        text = ", ".join(f"CAST({column} AS VARCHAR) AS {column}" for column in columns)
+        shown[name] = f"SELECT * REPLACE ({text}) FROM ({shown[name]})"
+    return shown
+
+
+def _statements() -> dict[str, str]:
     key = "year(d) * 10000 + month(d) * 100 + day(d)"
     weekend = "dayofweek(d) IN (0, 6)"
     age = "date_diff('day', order_date, DATE '2001-08-01')"

@@ -42,12 +42,31 @@ SNAPSHOT_1 = dt.datetime(2024, 1, 1)
 SNAPSHOT_2 = dt.datetime(2024, 2, 1)
 
 
-def portable(df: DataFrame) -> DataFrame:
-    """Dates and times as text, so any engine's rows compare equal."""
+# Whole-number columns that can be NULL, by query.  Clients hold them as
+# integers or as floats, so they are shown as text.
+NULLABLE_NUMBERS = {
+    "user_sessions": ("user_id",),
+    "bronze_json_sessions": ("user_id",),
+    "session_actions": ("product_id",),
+    "stream_ingest_actions": ("product_id",),
+    "sessions_daily": ("user_id",),
+    "actions_daily": ("user_id",),
+    "user_daily_metric": ("user_id",),
+    "session_features": ("user_id",),
+    "session_features_joined": ("user_id",),
+    "time_to_first_action": ("time_to_first_action",),
+    "fact_user_behavior": ("user_id", "product_id", "product_key"),
+    "campaign_scores": ("days_since_last_purchase",),
+}
+
+
+def portable(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
+    """Dates, times and the named columns as text, so any engine's rows
+    compare equal."""
     shown = []
     for field in df.schema.fields:
         name = column = f"`{field.name}`"
-        if isinstance(field.dataType, DateType):
+        if isinstance(field.dataType, DateType) or field.name in as_text:
             column = f"CAST({name} AS string)"
         elif isinstance(field.dataType, TimestampType):
             column = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')"
@@ -588,7 +607,8 @@ def score_outside_model(s: Shop) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(build: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: portable(build(Shop(spark, folder)))
+    def bind(name: str, build: Query) -> Callable[[SparkSession, str], DataFrame]:
+        as_text = NULLABLE_NUMBERS.get(name, ())
+        return lambda spark, folder: portable(build(Shop(spark, folder)), as_text)
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    return {name: bind(name, build) for name, build in QUERIES.items()}
