@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,23 +52,6 @@ def map_batches(df: DataFrame, schema: str, work: Callable[..., dict], rows: int
     return df.mapInArrow(run, schema)
 
 
-class WordHashes(dict):
-    """64-bit hash by word, remembered for up to ``limit`` words at a time."""
-
-    def __init__(self, limit: int = 200_000) -> None:
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values (the finaliser of splitmix64)."""
     z = values.astype(np.uint64, copy=True)

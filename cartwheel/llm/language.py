@@ -9,9 +9,11 @@ the window scores are averaged by the bytes they cover.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from cartwheel.llm.common import crc_class, map_batches, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
-FILTERS = 12
+FILTERS = 8
 EMBEDDING = 8
 #: Bound of the training sample: documents of each language, windows of each.
 PER_LANGUAGE = 400
@@ -193,22 +195,45 @@ def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
     def work(ids: list, texts: list) -> dict:
         langs, scores = [UNDETERMINED] * len(ids), [0.0] * len(ids)
         if net is not None:
-            # Windows of several texts share a block of the network; a long
-            # text goes through in blocks too, so memory stays bounded.
             for i, text in enumerate(texts):
                 if text:
-                    grid = cut_windows(text)
-                    weights = np.full(len(grid), WINDOW, np.float64)
-                    weights[-1] = len(text) - WINDOW * (len(grid) - 1)
-                    mean = weights @ net.logits(grid) / weights.sum()
-                    chance = np.exp(mean - mean.max())
-                    chance /= chance.sum()
+                    chance = _judged(net, text)
                     langs[i], scores[i] = net.languages[int(chance.argmax())], float(chance.max())
         return {"doc_id": ids, "lang_pred": langs, "score": scores}
 
     return map_batches(named, "doc_id bigint, lang_pred string, score double", work)
 
 
+def _judged(net: ByteNet, text: bytes) -> np.ndarray:
+    """Chance of each language, window scores weighted by their bytes."""
+    grid = cut_windows(text)
+    weights = np.full(len(grid), WINDOW, np.float64)
+    weights[-1] = len(text) - WINDOW * (len(grid) - 1)
+    mean = weights @ net.logits(grid) / weights.sum()
+    chance = np.exp(mean - mean.max())
+    return chance / chance.sum()
+
+
+def keep_known(docs: DataFrame, net: ByteNet | None, floor: float) -> DataFrame:
+    """The rows of ``docs`` whose text is in a known language.
+
+    Rows with a NULL text, without a letter, or with a best chance below
+    ``floor`` go; all columns pass through untouched.  Without a network every
+    text with a letter stays.
+    """
+    lettered = docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    if net is None:
+        return lettered
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sure = [_judged(net, t.encode()).max() >= floor for t in map(pa.Scalar.as_py, batch.column(place))]
+            yield batch.filter(pa.array(sure, pa.bool_()))
+
+    return lettered.mapInArrow(run, docs.schema)
+
+
 def held_out() -> Column:
     return F.coalesce(crc_class(F.col("doc_id"), 4) == 2, F.lit(False))
 

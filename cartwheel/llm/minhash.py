@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import WordHashes, map_batches, mix, table
+from cartwheel.llm.common import map_batches, mix, table
 from cartwheel.llm.components import connected_components
 from cartwheel.session import staged
 
@@ -39,19 +39,55 @@ SIGNATURE_FLOOR = 0.55
 CHUNK = 256
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Words between ASCII blanks, with A-Z in lower case."""
-    return text.lower().split() if text else []
+class _Powers:
+    """Powers of an odd number modulo 2^64 and of its inverse, grown on need."""
 
+    base = 0x9E3779B97F4A7C15
+    inverse = pow(base, -1, 2**64)
 
-def shingle_set(words: list[bytes], hashes: WordHashes, size: int = WORDS) -> np.ndarray:
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def reach(self, size: int) -> None:
+        if size > len(self.up):
+            for name, factor in (("up", self.base), ("down", self.inverse)):
+                steps = np.full(2 * size, factor, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+
+
+_POWERS = _Powers()
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+# A random number a byte; A-Z share those of a-z.
+_BYTE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2)
+_BYTE[65:91] = _BYTE[97:123]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of each word between ASCII blanks, A-Z taken as a-z.
+
+    All words at once: sums over byte * power, shifted back to the word's
+    start by the inverse power.
+    """
+    raw = np.frombuffer(text, np.uint8)
+    solid = np.concatenate([[False], ~_BLANK[raw], [False]])
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    _POWERS.reach(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * _POWERS.up[: len(raw)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _POWERS.down[starts] + (ends - starts).astype(np.uint64))
+
+
+def shingle_set(text: bytes | None, size: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word shingles; a shorter text
-    is one shingle, an empty one has none."""
-    if not words:
-        return np.empty(0, np.uint64)
-    own = hashes.of(words)
-    size = min(size, len(words))
-    total = np.full(len(words) - size + 1, size, np.uint64)
+    is one shingle, a text without words has none."""
+    own = word_hashes(text) if text else np.empty(0, np.uint64)
+    if not len(own):
+        return own
+    size = min(size, len(own))
+    total = np.full(len(own) - size + 1, size, np.uint64)
     for i, factor in enumerate(_factors(size)):
         total += own[i : i + len(total)] * factor
     return np.unique(mix(total))
@@ -96,12 +132,10 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int
     ``digest`` stands for the whole set, ``sketch`` keeps one byte a minimum.
     Rows without words have NULL for all three.
     """
-    hashes = WordHashes()
-
     def work(ids: list, texts: list) -> dict:
         out = {"doc_id": ids, "n_shingles": [], "digest": [], "bands": [], "sketch": []}
         for text in texts:
-            items = shingle_set(words_of(text), hashes, words)
+            items = shingle_set(text, words)
             out["n_shingles"].append(len(items))
             if len(items):
                 best = minima(items, bands * rows)
@@ -144,7 +178,6 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     so a task holds two sets at a time.  A leader with many partners is dealt
     to several tasks.
     """
-    hashes = WordHashes()
     many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
     dealt = pairs.join(many, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") / CHUNK)).cast("int").alias("chunk")
@@ -166,7 +199,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
             for a, chunk, role, other, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (a, chunk) != group:
                     group, leaders = (a, chunk), []
-                items = shingle_set(words_of(text.encode()), hashes, words)
+                items = shingle_set(text.encode(), words)
                 if role == 0:
                     leaders.append(items)
                     continue
