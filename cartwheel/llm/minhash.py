@@ -4,9 +4,10 @@ Method.  Every document's set of distinct five-word shingles is hashed by many
 universal functions; the minima are cut into bands, and equal bands put
 documents into one bucket.  Copies with equal sets are folded into one
 representative first.  Buckets never emit all their pairs: each member is
-compared with the bucket's least id, links merge into components, and only
-pairs that share a bucket but no component are looked at again, until none is
-left.  Pairs pass a signature check and are then confirmed on full sets.
+compared with the bucket's least id and links merge into components.  Members
+of a bucket that are still in different components are then compared in blocks
+inside tasks, which give out at most one link for each merge.  Pairs pass a
+signature check and are then confirmed on full sets.
 
 With ``rows = 6`` and ``bands = 48`` a pair at a similarity of 0.75 shares no
 bucket with a probability below 1 in 12,000; at 0.8 below 1 in two million.
@@ -32,9 +33,11 @@ BANDS = 48
 ROWS = 6
 #: Similarity in hundredths from which two documents are linked.
 PERCENT = 75
-#: Pairs whose signatures agree less than this are far below the threshold:
-#: eight standard deviations at 0.75 with 288 minima.
-SIGNATURE_FLOOR = 0.55
+#: Pairs whose signatures agree less than this are below the threshold: five
+#: standard deviations at 0.75 with 288 minima.
+SIGNATURE_FLOOR = 0.62
+#: Members of a bucket that a task holds on either side of a comparison.
+BLOCK = 1024
 #: Members compared with one leader in one go; more go to further tasks.
 CHUNK = 256
 
@@ -214,8 +217,104 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _ordered(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _cells(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """``key, big, small, side, doc_id, component``: the members of buckets
+    with several components, dealt to cells of two blocks.
+
+    A bucket's members outside its largest component (side 1) meet all of
+    that component (side 0) and each other; those inside it never meet again.
+    """
+    placed = buckets.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    )
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    shape = (
+        sizes.groupBy("key")
+        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("components"))
+        .where("components > 1")
+        .select(
+            "key",
+            F.col("top.component").alias("largest"),
+            F.ceil(F.col("top.n") / BLOCK).cast("int").alias("bigs"),
+            F.ceil((F.col("members") - F.col("top.n")) / BLOCK).cast("int").alias("smalls"),
+        )
+    )
+    member = placed.join(shape, "key").withColumn("side", (F.col("component") != F.col("largest")).cast("int"))
+    blocks = F.when(F.col("side") == 0, F.col("bigs")).otherwise(F.col("smalls"))
+    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    span = lambda count: F.sequence(F.lit(0), count - 1)
+    inside = F.transform(span(F.col("smalls")), lambda s: F.struct(F.col("own").alias("big"), s.alias("small")))
+    across = F.transform(span(F.col("bigs")), lambda k: F.struct(k.alias("big"), F.col("own").alias("small")))
+    # Two blocks of side 1 meet in a cell numbered below zero.
+    among = F.transform(
+        F.filter(span(F.col("smalls")), lambda t: t != F.col("own")),
+        lambda t: F.struct((-1 - F.least(t, F.col("own"))).alias("big"), F.greatest(t, F.col("own")).alias("small")),
+    )
+    return (
+        member.withColumn("own", own)
+        .withColumn("cell", F.explode(F.when(F.col("side") == 0, inside).otherwise(F.concat(across, among))))
+        .select("key", "cell.big", "cell.small", "side", "doc_id", "component")
+    )
+
+
+def _merge_cells(cells: DataFrame, schema: str, percent: int, words: int) -> DataFrame:
+    """Runs over the cells one by one.
+
+    Rows without a text: gives out the rows with a likely partner in another
+    component.  Rows with one: gives out confirmed links between components.
+    """
+    exact = "text" in cells.columns
+    dealt = cells.repartition("key", "big", "small").sortWithinPartitions("key", "big", "small")
+    names = dealt.columns
+
+    def compare(rows: list[dict]) -> list[tuple]:
+        sketches = np.array([np.frombuffer(r["sketch"], np.uint8) for r in rows])
+        label = np.array([r["component"] for r in rows])
+        sets: dict[int, np.ndarray] = {}
+        marked, links = set(), []
+        for x in (i for i, r in enumerate(rows) if r["side"] == 1):
+            agree = (sketches == sketches[x]).mean(axis=1)
+            near = np.flatnonzero((agree >= SIGNATURE_FLOOR) & (label != label[x]))
+            if not exact:
+                marked.update(near.tolist(), [x] if len(near) else [])
+                continue
+            for y in near[np.argsort(-agree[near])].tolist():
+                if label[x] == label[y]:
+                    continue
+                for z in (x, y):
+                    if z not in sets:
+                        sets[z] = shingle_set(rows[z]["text"].encode(), words)
+                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared):
+                    links.append((rows[x]["doc_id"], rows[y]["doc_id"]))
+                    label[label == label[y]] = label[x]
+        if exact:
+            return links
+        return [(rows[i]["key"], rows[i]["big"], rows[i]["small"], rows[i]["side"], rows[i]["doc_id"], rows[i]["component"]) for i in sorted(marked)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+
+        def out(found: list[tuple]) -> pa.RecordBatch:
+            fields = [f.split(" ") for f in schema.split(", ")]
+            kinds = {"bigint": pa.int64(), "int": pa.int32()}
+            columns = list(zip(*found, strict=True)) or [()] * len(fields)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields]
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = (row["key"], row["big"], row["small"])
+                if now != cell:
+                    if held:
+                        yield out(compare(held))
+                    cell, held = now, []
+                held.append(row)
+        if held:
+            yield out(compare(held))
+
+    return dealt.select(*names).mapInArrow(run, schema)
 
 
 def near_duplicates(
@@ -224,19 +323,12 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     words: int = WORDS,
-    star_rounds: int = 3,
-    rest_per_document: int = 8,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
     Documents are linked when ``100 * intersection >= percent * union`` of
     their shingle sets; a component's id is its least ``doc_id``.
 
-    Pairs left after a round (same bucket, different components) are compared
-    at once when there are at most ``rest_per_document`` of them for each
-    document in a shared bucket, or after ``star_rounds`` rounds: that last step
-    takes every pair, whatever their number, so nothing is left out.
-
     NULL, empty or blank text: no shingles, linked with nothing, kept.  NULL
     ``doc_id``: component of the documents with an equal set, else NULL (and
     kept).  Rows that share a ``doc_id`` are one node of the graph.  Other
@@ -258,32 +350,21 @@ def near_duplicates(
     involved = buckets.select("doc_id").distinct()
     texts = staged(docs.select("doc_id", "text").where("text IS NOT NULL").join(involved, "doc_id", "left_semi"), "texts")
     edges = staged(_confirm(likely, texts, percent, words), "links")
-    found = connected_components(edges)
-    for turn in range(1, star_rounds + 1):
-        placed = buckets.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-            "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-        )
-        open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        rest = staged(placed.join(open_keys, "key"), "rest")
-        sizes = rest.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        load = sizes.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("open"))
-        pending, documents = load.agg(F.sum("open")).first()[0], rest.select("doc_id").distinct().count()
-        if not pending:
-            break
-        last = turn == star_rounds or pending <= rest_per_document * documents
-        if last:
-            other = rest.select("key", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-            tried = rest.join(other, "key").where("component <> other AND doc_id < b").select(F.col("doc_id").alias("a"), "b")
-        else:
-            order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "component")
-            heads = rest.groupBy("key").agg(F.min(order).alias("head"))
-            tried = rest.join(heads, "key").where("component <> head.component").select(*_ordered("head.doc_id", "doc_id"))
-        fresh = staged(_likely(tried.distinct(), sketches), "pairs")
-        more = staged(_confirm(fresh, texts, percent, words), "links")
-        edges = edges.unionByName(more)
-        found = connected_components(edges)
-        if last:
-            break
+    cells = _cells(buckets, connected_components(edges))
+    likely_rows = staged(
+        _merge_cells(
+            cells.join(sketches, "doc_id").select("key", "big", "small", "side", "doc_id", "component", "sketch"),
+            "key bigint, big int, small int, side int, doc_id bigint, component bigint", percent, words,
+        ),
+        "cells",
+    )
+    with_text = (
+        likely_rows.join(sketches, "doc_id")
+        .join(texts, "doc_id")
+        .select("key", "big", "small", "side", "doc_id", "component", "sketch", "text")
+    )
+    more = staged(_merge_cells(with_text, "a bigint, b bigint", percent, words), "links")
+    found = connected_components(edges.unionByName(more))
     rep_of = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("of_class")
     )
