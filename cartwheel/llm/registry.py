@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartwheel.llm import decontaminate, language, minhash, pieces, pii
+from cartwheel.llm import decontaminate, extract, language, minhash, passages, pieces, pii, quality, spots, token_files
 from cartwheel.session import prepare
 
 
@@ -17,6 +17,11 @@ def _prepared(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     builds = [
+        spots.op1_spot_signatures,
+        extract.op2_html_extraction,
+        quality.op3_quality,
+        token_files.op4_token_counts,
+        passages.op5_substring_dedup,
         minhash.op6_minhash_near_dedup,
         decontaminate.op7_benchmark_decontamination,
         pieces.op8_sentencepiece,
