@@ -228,7 +228,7 @@ def keep_known(docs: DataFrame, net: ByteNet | None, floor: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sure = [_judged(net, t.encode()).max() >= floor for t in map(pa.Scalar.as_py, batch.column(place))]
+            sure = [_judged(net, t.encode()).max() >= floor for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(sure, pa.bool_()))
 
     return lettered.mapInArrow(run, docs.schema)
