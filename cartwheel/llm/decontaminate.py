@@ -188,13 +188,15 @@ def verified(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
         docs.select("doc_id", "text")
         .join(per_document, "doc_id")
         .withColumn("words", words_column(F.col("text")))
-        .select("doc_id", "tries", F.size("words").alias("n"), F.transform(_shingles(F.col("words")), lambda x: F.xxhash64(x)).alias("own"))
+        .select("doc_id", "tries", "words", F.size("words").alias("n"), F.transform(_shingles(F.col("words")), lambda x: F.xxhash64(x)).alias("own"))
     )
-    one = shingled.select("doc_id", "n", "own", F.explode("tries").alias("t")).select("doc_id", "n", "own", "t.*")
+    one = shingled.select("doc_id", "words", "n", "own", F.explode("tries").alias("t")).select("doc_id", "words", "n", "own", "t.*")
     # A start is where a whole item-sized stretch fits; a shorter document
     # has the start 0 only.
     one = one.where((F.col("begin") >= 0) & (F.col("begin") <= F.greatest(F.col("n") - F.col("length"), F.lit(0))))
-    one = one.withColumn("stretch", F.slice("own", F.col("begin") + 1, F.greatest(F.col("length") - WORDS + 1, F.lit(1))))
+    # An item of few words is one shingle of its own size.
+    short = F.array(F.xxhash64(F.array_join(F.slice("words", F.col("begin") + 1, F.col("length")), " ")))
+    one = one.withColumn("stretch", F.when(F.col("length") < WORDS, short).otherwise(F.slice("own", F.col("begin") + 1, F.greatest(F.col("length") - WORDS + 1, F.lit(1)))))
     scored = one.select("doc_id", "item_id", "begin", "stretch").join(item_side.select("item_id", "wanted"), "item_id")
     # Multiplicities: shared weight is the sum of the smaller counts.
     both = F.array_distinct(F.array_intersect("stretch", "wanted"))
