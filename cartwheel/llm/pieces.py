@@ -41,7 +41,7 @@ BLANK = "▁"
 #: Stands for a blank mark in the text itself; no text can hold it.
 OWN_MARK = "\ud800"
 #: Lattice arcs remembered before the memory is emptied.
-KEPT_ARCS = 7_000_000
+KEPT_ARCS = 4_000_000
 
 
 class Vocabulary:
@@ -305,7 +305,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, alpha: float = ALPHA, seed
             "lossless": [decode(p.tolist(), model) == (t or b"") for p, t in zip(pieces, texts, strict=True)],
         }
 
-    return map_batches(docs.select("doc_id", "text"), "doc_id bigint, pieces array<int>, n_pieces bigint, lossless boolean", work, rows=256)
+    return map_batches(docs.select("doc_id", "text"), "doc_id bigint, pieces array<int>, n_pieces bigint, lossless boolean", work, rows=128)
 
 
 def decode_texts(encoded: DataFrame, model: str = MODEL) -> DataFrame:
