@@ -103,7 +103,7 @@ def score(model: PipelineModel, features: DataFrame, run_ts: Column | None = Non
     """Class and probability of a purchase for every feature row."""
     keys = ("user_id", "prediction_date")
     rows = features.select(
-        *keys, *[F.coalesce(as_double(name), F.lit(0.0)).alias(name) for name in DAILY_FEATURES]
+        *keys, *[F.coalesce(F.nanvl(as_double(name), F.lit(0.0)), F.lit(0.0)).alias(name) for name in DAILY_FEATURES]
     )
     return model.transform(rows).select(
         *keys,

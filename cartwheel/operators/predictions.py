@@ -20,8 +20,9 @@ def before_day(df: DataFrame, column: str, cut_off: dt.date | str) -> DataFrame:
 
 
 def recent(df: DataFrame, column: str, as_of: dt.date | str, days: int = 7) -> DataFrame:
-    """Rows of the last ``days`` days before ``as_of``, that day included."""
-    return df.where(F.col(column) >= F.date_sub(F.lit(as_of).cast("date"), days))
+    """Rows of the last ``days`` days before ``as_of`` and of that day."""
+    day = F.lit(as_of).cast("date")
+    return df.where(F.col(column).between(F.date_sub(day, days), day))
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: str) -> DataFrame:

@@ -169,20 +169,28 @@ def revenue_by_period(totals: DataFrame, period: str) -> DataFrame:
     )
 
 
-def period_growth(totals: DataFrame, *group: str, periods: int = 1) -> DataFrame:
+def period_growth(totals: DataFrame, *group: str, periods: int = 1, unit: str = "month") -> DataFrame:
     """Change against an earlier period of ``revenue_by_period``-like rows.
 
-    ``periods=1`` compares with the period before, 12 on months or 52 on weeks
-    with the year before.  The window runs over period totals, one row per period and group, so it
-    is bounded by the calendar.
+    ``periods=1`` compares with the ``unit`` before, 12 on months or 52 on
+    weeks with the year before.  A period is compared with the one that many
+    units earlier; where that one has no rows, there is nothing to compare.
     """
-    previous = Window.partitionBy(*group).orderBy("period_start")
-    before = F.lag("revenue", periods).over(previous)
-    return totals.select(
+    step = F.expr(f"interval {periods} {unit}")
+    earlier = totals.select(
+        (F.col("period_start") + step).cast("date").alias("later_start"),
+        F.col("revenue").alias("previous_revenue"),
+        *[F.col(name).alias(f"earlier_{name}") for name in group],
+    )
+    same = F.col("period_start") == F.col("later_start")
+    for name in group:
+        same = same & F.col(name).eqNullSafe(F.col(f"earlier_{name}"))
+    before = F.col("previous_revenue")
+    return totals.join(earlier, same, "left").select(
         *group,
         "period_start",
         "revenue",
-        before.alias("previous_revenue"),
+        before,
         quotient(F.col("revenue") - before, before).alias("growth"),
     )
 
@@ -238,7 +246,7 @@ def best_sellers(
         dim_products.select(F.col("product_id").alias("product_key"), "product_name", "category", "brand_name"),
         "product_key",
         "left",
-    )
+    ).orderBy(F.desc(by), "product_key")
 
 
 def revenue_share(sales: DataFrame, dim_products: DataFrame, attribute: str) -> DataFrame:
@@ -335,8 +343,12 @@ def retention(fact_orders: DataFrame, period: str = "month") -> DataFrame:
         .agg(
             F.sum("before").alias("previous_customers"),
             F.sum(F.col("now") * F.col("before")).alias("retained_customers"),
+            F.max("now").alias("seen"),
         )
-        .where(F.col("previous_customers") > 0)
+        # Nothing is known of the period after the last one with orders.
+        .withColumn("last_seen", F.max(F.when(F.col("seen") == 1, F.col("period_start"))).over(Window.partitionBy()))
+        .where((F.col("previous_customers") > 0) & (F.col("period_start") <= F.col("last_seen")))
+        .drop("seen", "last_seen")
         .withColumn("retention_rate", F.try_divide("retained_customers", "previous_customers"))
     )
 

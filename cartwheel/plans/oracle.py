@@ -329,13 +329,14 @@ def _period(unit: str) -> str:
     )
 
 
-def _growth(group: str, source: str, *layers: str, periods: int = 1) -> str:
-    partition = f"PARTITION BY {group}" if group else ""
+def _growth(group: str, source: str, *layers: str, periods: int = 1, unit: str = "month") -> str:
+    same = f"AND e.{group} IS NOT DISTINCT FROM t.{group}" if group else ""
     shown = f"{group}, " if group else ""
     return _with(
         f"""SELECT {shown}{_day('period_start')} AS period_start, revenue, before AS previous_revenue,
                    (revenue - before) / nullif(before, 0) AS growth
-            FROM (SELECT *, lag(revenue, {periods}) OVER ({partition} ORDER BY period_start) AS before FROM ({source}))""",
+            FROM (SELECT t.*, e.revenue AS before FROM ({source}) t LEFT JOIN ({source}) e
+                    ON e.period_start = CAST(t.period_start - INTERVAL {periods} {unit} AS DATE) {same})""",
         *layers,
     )
 
@@ -557,7 +558,7 @@ def _statements() -> dict[str, str]:
         ),
         "silver_products": """
             SELECT p_partkey AS product_id, p_name AS product_name, p_type AS product_description,
-                   p_retailprice AS price, CAST('0x' || substr(md5(p_type), 1, 7) AS BIGINT) AS category_id,
+                   p_retailprice AS price, CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT) AS category_id,
                    p_brand AS brand_id, '2020-01-01 00:00:00' AS created_at, '2020-01-01 00:00:00' AS updated_at
             FROM part""",
         "silver_customers": _with(
@@ -567,7 +568,7 @@ def _statements() -> dict[str, str]:
             SELECT DISTINCT p_brand AS brand_id, 'Maker ' || split_part(p_brand, '#', 2) AS brand_name,
                    'unknown' AS brand_origin FROM part""",
         "silver_categories": """
-            SELECT DISTINCT CAST('0x' || substr(md5(p_type), 1, 7) AS BIGINT) AS category_id,
+            SELECT DISTINCT CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT) AS category_id,
                    p_type AS category_name, 'All ' || p_type AS category_description FROM part""",
         "silver_payment_method": """
             SELECT DISTINCT CAST(o_orderpriority[1] AS BIGINT) AS payment_method_id,
@@ -637,7 +638,7 @@ def _statements() -> dict[str, str]:
         "revenue_by_week": _period("week"),
         "revenue_by_month": _period("month"),
         "period_growth": _growth("", _PERIOD.format("month"), "po"),
-        "growth_week_over_week": _growth("", _PERIOD.format("week"), "po"),
+        "growth_week_over_week": _growth("", _PERIOD.format("week"), "po", unit="week"),
         "growth_year_over_year": _growth("", _PERIOD.format("month"), "po", periods=12),
         "category_growth": _growth(
             "category",
@@ -676,6 +677,7 @@ def _statements() -> dict[str, str]:
                 FROM (SELECT DISTINCT customer_key, date_trunc('month', order_date) AS p FROM fo) b
                 LEFT JOIN (SELECT DISTINCT customer_key, date_trunc('month', order_date) AS p FROM fo) a
                   ON a.customer_key = b.customer_key AND a.p = b.p + INTERVAL 1 MONTH
+                WHERE b.p + INTERVAL 1 MONTH <= (SELECT max(date_trunc('month', order_date)) FROM fo)
                 GROUP BY b.p""",
             "fo",
         ),
@@ -844,7 +846,7 @@ def _statements() -> dict[str, str]:
         "recent_predictions": _with(
             f"""SELECT * REPLACE ({_day('prediction_date')} AS prediction_date,
                        {_stamp('prediction_timestamp')} AS prediction_timestamp)
-                FROM pr WHERE prediction_date >= DATE '2024-01-15' - 7""",
+                FROM pr WHERE prediction_date BETWEEN DATE '2024-01-15' - 7 AND DATE '2024-01-15'""",
             "pr",
         ),
         "prediction_summary": _with(

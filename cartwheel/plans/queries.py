@@ -33,9 +33,7 @@ from cartwheel.sinks import tables
 from cartwheel.sources import bronze, extract, shop_tables
 from cartwheel.streaming import ingest
 
-SALES_SPINE = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 SALES_END = dt.date(2001, 8, 1)
-BEHAVIOUR_SPINE = (dt.date(2024, 1, 1), dt.date(2024, 12, 31))
 CAMPAIGN_DAY = dt.date(2024, 1, 15)
 TRAIN_CUT_OFF = dt.date(2024, 1, 25)
 SNAPSHOT_1 = dt.datetime(2024, 1, 1)
@@ -121,7 +119,7 @@ class Shop:
 
     @cached_property
     def sales_dates(self) -> DataFrame:
-        return dimensions.dim_date(self.spark, *SALES_SPINE)
+        return dimensions.date_attributes(dimensions.date_spine_of(self.orders, "order_date"))
 
     @cached_property
     def fact_orders(self) -> DataFrame:
@@ -157,7 +155,7 @@ class Shop:
 
     @cached_property
     def behavior(self) -> DataFrame:
-        dates = dimensions.dim_date(self.spark, *BEHAVIOUR_SPINE)
+        dates = dimensions.date_attributes(dimensions.date_spine_of(self.actions, "action_timestamp"))
         return behaviour_mart.fact_user_behavior(self.logs, self.dim_products, dates)
 
     @cached_property
@@ -247,7 +245,7 @@ _plain(
 )
 _plain(
     "growth_week_over_week",
-    lambda s: sales_reports.period_growth(sales_reports.revenue_by_period(s.totals, "week")),
+    lambda s: sales_reports.period_growth(sales_reports.revenue_by_period(s.totals, "week"), unit="week"),
 )
 _plain(
     "growth_year_over_year",

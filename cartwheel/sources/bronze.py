@@ -33,8 +33,13 @@ def read_activity_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_activity_logs(logs: DataFrame, path: str) -> None:
-    """Writes session records as NDJSON under ``ingest_date=`` folders."""
-    logs.hint("rebalance", "ingest_date").write.mode("append").partitionBy("ingest_date").json(path)
+    """Writes session records as NDJSON under ``ingest_date=`` folders.
+
+    The days present are replaced, so a repeated landing changes nothing.
+    """
+    logs.hint("rebalance", "ingest_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("ingest_date").json(path)
 
 
 def refresh_partitions(spark: SparkSession, table: str) -> None:

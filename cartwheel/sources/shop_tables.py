@@ -22,7 +22,7 @@ def _cents(value: Column) -> Column:
 
 
 def _category_id(name: Column) -> Column:
-    return F.conv(F.substring(F.md5(name), 1, 7), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:

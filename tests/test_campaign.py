@@ -50,6 +50,7 @@ def test_latest_and_recent(scored, rows):
     assert rows(latest.where("user_id = 1"), "purchase_probability") == [(0.80,)]
     assert p.recent(scored, "prediction_date", DAY, 0).count() == 7
     assert p.recent(scored, "prediction_date", DAY, 1).count() == 8
+    assert p.recent(scored, "prediction_date", DAY - dt.timedelta(days=1), 0).count() == 1
 
 
 def test_unpredicted(spark, scored, rows):
