@@ -185,15 +185,16 @@ def with_interactions(features: DataFrame) -> DataFrame:
     )
 
 
-def winsorised(features: DataFrame, column: str, low: float, high: float) -> DataFrame:
+def winsorised(features: DataFrame, column: str, low: float, high: float, accuracy: int = 10_000) -> DataFrame:
     """Clamps a column to its own quantiles.
 
     The two bounds come from one approximate-quantile pass (relative error
-    0.001) with a mergeable sketch; only these two numbers are compared with
+    ``1 / accuracy``) with a mergeable sketch, since exact quantiles would
+    gather all different values in one task; only these two numbers are compared with
     every row.
     """
     bounds = features.agg(
-        F.percentile_approx(F.col(column).cast("double"), [low, high], 1000).alias("bounds")
+        F.percentile_approx(F.col(column).cast("double"), [low, high], accuracy).alias("bounds")
     )
     limits = bounds.scalar()
     value = F.col(column).cast("double")

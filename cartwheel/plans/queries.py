@@ -158,9 +158,13 @@ class Shop:
         dates = dimensions.date_attributes(dimensions.date_spine_of(self.actions, "action_timestamp"))
         return behaviour_mart.fact_user_behavior(self.logs, self.dim_products, dates)
 
+    @cached_property
+    def behavior_rows(self) -> DataFrame:
+        return behaviour_mart.behaviour_rows(self.logs)
+
     @cached_property
     def daily_metrics(self) -> DataFrame:
-        return behaviour_mart.fact_daily_metrics(self.behavior)
+        return behaviour_mart.fact_daily_metrics(self.behavior_rows)
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -317,7 +321,7 @@ def session_interactions(s: Shop) -> DataFrame:
 # Behaviour mart and reports.
 _plain("fact_user_behavior", lambda s: s.behavior)
 _plain("fact_daily_metrics", lambda s: s.daily_metrics)
-_plain("funnel", lambda s: behaviour_reports.funnel(s.behavior))
+_plain("funnel", lambda s: behaviour_reports.funnel(s.behavior_rows))
 _plain("channel_performance", lambda s: behaviour_reports.channel_performance(s.daily_metrics))
 _plain(
     "product_engagement",
@@ -329,7 +333,7 @@ _plain("conversion_kpis", lambda s: behaviour_reports.conversion_kpis(s.daily_me
 _plain("engagement_kpis", lambda s: behaviour_reports.engagement_kpis(s.sessions))
 _plain("weekly_active_users", lambda s: behaviour_reports.active_users(s.sessions, "week"))
 _plain("source_performance", lambda s: behaviour_reports.source_performance(s.daily_metrics))
-_plain("campaign_performance", lambda s: behaviour_reports.campaign_performance(s.behavior))
+_plain("campaign_performance", lambda s: behaviour_reports.campaign_performance(s.behavior_rows))
 _plain("search_terms", lambda s: behaviour_reports.search_terms(s.logs))
 
 

@@ -164,6 +164,27 @@ def test_daily_metrics(behavior, rows):
     ]
 
 
+def test_reports_without_dimensions_equal_those_over_the_fact(behavior, rows):
+    logs, fact = behavior
+    plain = behaviour_mart.behaviour_rows(logs)
+    assert rows(br.funnel(plain)) == rows(br.funnel(fact))
+    assert rows(behaviour_mart.fact_daily_metrics(plain)) == rows(behaviour_mart.fact_daily_metrics(fact))
+    plan = br.funnel(plain)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    plan = behaviour_mart.fact_daily_metrics(plain)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_daily_metrics_of_a_session_with_two_users(spark, rows):
+    shop = [
+        session("a", 1, "2024-01-01T10:00:00Z", [action("view", 0)]),
+        session("a", 2, "2024-01-01T11:00:00Z", [action("purchase", 0, total_amount=2.0)]),
+        session(None, 2, "2024-01-01T11:00:00Z", [action("purchase", 0, total_amount=3.0)]),
+    ]
+    metrics = behaviour_mart.fact_daily_metrics(behaviour_mart.behaviour_rows(frame(spark, *shop)))
+    assert rows(metrics, "active_users", "total_sessions", "converted_sessions", "total_revenue") == [(2, 1, 1, 5.0)]
+
+
 def test_funnel(behavior, rows):
     assert rows(br.funnel(behavior[1])) == [
         (dt.date(2024, 1, 1), 4, 1, 2, 25.0, 200.0, 50.0), (dt.date(2024, 1, 2), 0, 0, 0, None, None, None)
