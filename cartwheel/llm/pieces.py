@@ -181,9 +181,15 @@ class Lattices:
             part = np.exp(value - np.repeat(top, widths))
             whole = np.add.reduceat(part, heads)
             total[end[heads]] = top + np.log(whole)
-            running = np.cumsum(part / np.repeat(whole, widths))
-            before = np.concatenate([[0.0], running[heads[1:] - 1]])
-            running = np.minimum(running - np.repeat(before, widths), 1.0)
+            # Each node's shares are summed on their own: a sum over the whole
+            # batch would round by what else is in it.
+            running = part / np.repeat(whole, widths)
+            at, size, step = heads, widths, 1
+            while len(at := at[size > step]):
+                size = size[size > step]
+                running[at + step] += running[at + step - 1]
+                step += 1
+            running = np.minimum(running, 1.0)
             running[heads + widths - 1] = 1.0
             share[lo:hi] = running
         order = np.argsort(last, kind="stable")
