@@ -40,7 +40,7 @@ SEED = 13
 BLANK = "▁"
 #: Stands for a blank mark in the text itself; no text can hold it.
 OWN_MARK = "\ud800"
-#: Lattice arcs remembered before the memory is emptied.
+#: Lattice arcs remembered before words met only once are forgotten.
 KEPT_ARCS = 4_000_000
 
 
@@ -96,6 +96,11 @@ def _extended(hashes: np.ndarray, characters: np.ndarray) -> np.ndarray:
     return hashes * np.uint64(0xD1B54A32D192ED03) + mix(characters + np.uint64(1))
 
 
+def _ranges(ends: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers ``end - size`` to ``end - 1`` of each range in a row; the sizes."""
+    return np.arange(int(sizes.sum())) + np.repeat(ends - np.cumsum(sizes), sizes), sizes
+
+
 @lru_cache(maxsize=2)
 def vocabulary(model: str, alpha: float) -> Vocabulary:
     return Vocabulary(model, alpha)
@@ -119,16 +124,40 @@ class Lattices:
         self.share = np.empty(4096)
         self.arc_piece = np.empty(4096, np.int32)
         self.arc_from = np.empty(4096, np.int32)  # node the arc comes from, -1 for the start
+        self.met_again = np.zeros(4096, bool)  # of a word's last node
 
     def ends_of(self, words: list[str]) -> np.ndarray:
         """Last node of each word, after adding those not met before."""
         if self.arcs > KEPT_ARCS:
-            self.reset()
-        known = self.last_node
+            self._forget()
+        known, before = self.last_node, self.nodes
         fresh = [w for w in dict.fromkeys(words) if w not in known]
         if fresh:
             self._add(fresh)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        ends = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        self.met_again[ends[ends < before]] = True
+        return ends
+
+    def _forget(self) -> None:
+        """Keeps the words met in a later batch too, or none if these alone
+        fill half the memory.  A kept word must be met again to stay again."""
+        kept = [w for w, end in self.last_node.items() if self.met_again[end]]
+        ends = np.fromiter(map(self.last_node.__getitem__, kept), np.int64, len(kept))
+        nodes, sizes = _ranges(ends + 1, np.fromiter(map(len, kept), np.int64, len(kept)))
+        till = np.append(self.first_arc[1 : self.nodes], self.arcs)
+        widths = till[nodes] - self.first_arc[nodes]
+        arcs, _ = _ranges(till[nodes], widths)
+        if len(arcs) > KEPT_ARCS // 2:
+            self.reset()
+            return
+        moved = np.repeat(np.arange(len(nodes)) - nodes, widths)
+        origin = self.arc_from[arcs]
+        self.share, self.arc_piece = self.share[arcs], self.arc_piece[arcs]
+        self.arc_from = np.where(origin >= 0, origin + moved, -1).astype(np.int32)
+        self.first_arc = (np.cumsum(widths) - widths).astype(np.int32)
+        self.met_again = np.zeros(len(nodes), bool)
+        self.last_node = dict(zip(kept, (np.cumsum(sizes) - 1).tolist(), strict=True))
+        self.nodes, self.arcs = len(nodes), len(arcs)
 
     def _arcs(self, chars: np.ndarray, place: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
         """All arcs as first character, last character, piece and weight.
@@ -194,10 +223,10 @@ class Lattices:
             share[lo:hi] = running
         order = np.argsort(last, kind="stable")
         till = self.arcs + len(order)
-        for name, size in (("share", till), ("arc_piece", till), ("arc_from", till), ("first_arc", self.nodes + len(chars))):
+        for name, size in (("share", till), ("arc_piece", till), ("arc_from", till), ("first_arc", self.nodes + len(chars)), ("met_again", self.nodes + len(chars))):
             old = getattr(self, name)
             if size > len(old):
-                setattr(self, name, np.concatenate([old, np.empty(max(len(old) // 2, size - len(old)), old.dtype)]))
+                setattr(self, name, np.concatenate([old, np.zeros(max(len(old) // 2, size - len(old)), old.dtype)]))
         arcs_at = np.bincount(last, minlength=len(chars))
         self.first_arc[self.nodes : self.nodes + len(chars)] = self.arcs + np.cumsum(arcs_at) - arcs_at
         origin = np.where(place[first] > 0, self.nodes + first - 1, -1)
