@@ -267,6 +267,17 @@ def test_pieces_round_trip_and_repeat(docs, empty):
     assert pieces.encode_texts(empty).collect() == []
 
 
+def test_pieces_do_not_depend_on_what_is_remembered(monkeypatch):
+    """Small batches with a memory that forgets, against one batch."""
+    texts = [prose(k % 40, 60).encode() for k in range(200)]
+    whole = [p.tolist() for p in pieces.Encoder().encode(texts, list(range(200)))]
+    monkeypatch.setattr(pieces, "KEPT_ARCS", 2000)
+    encoder, parts = pieces.Encoder(), []
+    for k in range(0, 200, 7):
+        parts += [p.tolist() for p in encoder.encode(texts[k : k + 7], list(range(k, min(k + 7, 200))))]
+    assert parts == whole
+
+
 def test_pieces_follow_the_exact_distribution():
     """Frequencies of sampled segmentations against all ways enumerated."""
     vocab, word = pieces.vocabulary(pieces.MODEL, pieces.ALPHA), pieces.BLANK + "then"
