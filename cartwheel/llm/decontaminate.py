@@ -1,20 +1,21 @@
 """Benchmark decontamination by SimHash windows, in DataFrame operations only.
 
-Method.  An item of L words is looked for by windows of w words, w taken from
-L (:func:`stride_of`).  Documents are fingerprinted at every ``w / 2``-th word
-only; items at every offset, so any unbroken run of ``3 * w / 2 - 1`` words of
-a copy holds a document window that equals some item window.  SimHash counters
-of a window are packed eight to a 64-bit number, so that one sum adds eight of
-them.  A fingerprint of 64 bits is cut into four blocks: two fingerprints
-within ``RADIUS = 3`` bits agree in a block, so the block join finds all of
-them.  Candidates are then verified: the weighted Jaccard similarity
-(multiplicities as weights) between the item's five-word shingles and those of
-an item-sized stretch of the document, at each start the candidate allows.
-
-Why nothing at the threshold is missed.  At a similarity of 0.75 or more, at most
-``(L - 4) / 7`` shingles of the item are lost, each separate edit costs five
-or more of them, so there are at most ``(L - 4) / 35`` edits, and the longest
-run between them has the length assumed in :func:`stride_of`.
+Method.  Windows of three words are fingerprinted, at every third word of the
+documents and at every offset of the items, so that each five-word shingle a
+document shares with an item holds one document window that the item has too,
+wherever either stands.  SimHash counters of a window are packed eight to a
+64-bit number, so that one sum adds eight of them.  A fingerprint of 64 bits is
+cut into four blocks: two fingerprints within ``RADIUS = 3`` bits agree in a
+block, so the block join finds all of them.  The starts at which an item-sized
+stretch holds enough of the item's windows are then verified: the weighted
+Jaccard similarity (multiplicities as weights) between the item's five-word
+shingles and those of the stretch.
+
+Why nothing at the threshold is missed.  A stretch of ``m`` shingles at a
+similarity of ``t`` or more to an item of ``n`` shares at least
+``t / (1 + t) * (n + m)`` shingles with it.  A window lies in at most three
+shingles, so the stretch holds at least a third as many of the item's windows.
+Nothing is assumed about where the lost shingles are or about their order.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from cartwheel.session import staged
 WORDS = 5
 THRESHOLD = 0.75
 RADIUS = 3
-#: Half window sizes.  Odd, so that the majority of a window is never a tie.
-STRIDES = (1, 5, 11)
+#: Words of a window, and of the step between the windows of a document.
+SPAN = 3
 #: Size up to which the items' fingerprints may be sent to every executor.
 BROADCAST_ROWS = 500_000
 
@@ -46,33 +47,18 @@ def words_column(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _GAP), lambda w: w != "")
 
 
-def stride_of(length: Column) -> Column:
-    """Half window size for an item of so many words."""
-    lost = F.greatest(F.floor((length - 4) / 7), F.lit(0))
-    edits = F.greatest(F.floor((length - 4) / 35), F.lit(0))
-    run = F.floor((length - F.when(edits > 0, lost).otherwise(0)) / (edits + 1))
-    fits = [F.when((run + 1) >= 3 * g, F.lit(g)) for g in STRIDES]
-    return F.coalesce(*reversed(fits), F.lit(1))
+def _fingerprint(hashes: str, start: Column, span: int) -> list[Column]:
+    """The four blocks of the ``span`` hashes from ``start`` on: a bit is set
+    where two or more words set it.  A single word counts twice.
 
-
-def _counters(weight: Column) -> list[Column]:
-    """Eight sums of packed counters: counter j of sum k is bit 8j + k."""
-    return [
-        F.sum(F.shiftrightunsigned(F.col("h"), k).bitwiseAND(F.lit(_LOW)) * weight).alias(f"c{k}") for k in range(8)
-    ]
-
-
-def _blocks(half: Column) -> list[Column]:
-    """The four fingerprint blocks of a window of ``2 * half`` words.
-
-    A counter is above ``half`` if its half, rounded down, reaches
-    ``(half + 1) / 2``; adding the missing part up to 64 raises its flag bit.
+    Counter j of sum k is bit 8j + k.  It is two or more if its half, rounded
+    down, is one or more; adding the missing part up to 64 raises its flag bit.
     """
-    lift = (F.lit(64) - ((half + 1) / 2).cast("long")) * F.lit(_LOW)
-    flags = [
-        (F.shiftrightunsigned(F.col(f"c{k}"), 1).bitwiseAND(F.lit(_LOW * 0x3F)) + lift).bitwiseAND(F.lit(_FLAG))
-        for k in range(8)
-    ]
+    words = [F.col(hashes)[start + i] for i in range(span)] * (2 if span == 1 else 1)
+    flags = []
+    for k in range(8):
+        total = reduce(lambda x, y: x + y, [F.shiftrightunsigned(w, k).bitwiseAND(F.lit(_LOW)) for w in words])
+        flags.append((F.shiftrightunsigned(total, 1).bitwiseAND(F.lit(_LOW * 0x3F)) + F.lit(63 * _LOW)).bitwiseAND(F.lit(_FLAG)))
     return [flags[2 * j].bitwiseOR(F.shiftrightunsigned(flags[2 * j + 1], 1)).alias(f"b{j}") for j in range(4)]
 
 
@@ -84,59 +70,35 @@ def _distance(left: str, right: str) -> Column:
 
 
 def item_table(benchmark: DataFrame) -> DataFrame:
-    """``item_id, words, length, half`` of each item that has a word."""
+    """``item_id, words, length, span`` of each item that has a word."""
     return (
         benchmark.select("item_id", words_column(F.col("text")).alias("words"))
         .withColumn("length", F.size("words"))
         .where("length > 0")
-        .withColumn("half", stride_of(F.col("length")).cast("int"))
-        # A single word is a window of its own, counted twice.
-        .withColumn("span", F.when(F.col("length") == 1, F.lit(1)).otherwise(2 * F.col("half")).cast("int"))
+        # Items of fewer words than a shingle are one shingle: two words, or
+        # the only one, at every place.
+        .withColumn("span", F.when(F.col("length") >= WORDS, F.lit(SPAN)).otherwise(F.least(F.col("length"), F.lit(2))))
     )
 
 
-def item_windows(items: DataFrame) -> DataFrame:
-    """Fingerprints ``half, span, item_id, offset, length, b0..b3`` at every
-    offset that a document window may meet."""
-    starts = items.select(
-        "item_id", "length", "half", "span", "words",
-        F.explode(F.sequence(F.lit(0), F.col("length") - F.col("span"))).alias("offset"),
-    )
-    spread = starts.select(
-        "item_id", "length", "half", "span", "offset",
-        F.explode(F.slice("words", F.col("offset") + 1, F.col("span"))).alias("word"),
-    ).select("item_id", "length", "half", "span", "offset", F.xxhash64("word").alias("h"))
-    weight = F.when(F.col("span") == 1, F.lit(2)).otherwise(F.lit(1)).cast("long")
-    summed = spread.groupBy("item_id", "length", "half", "span", "offset").agg(*_counters(weight))
-    return summed.select("item_id", "length", "half", "span", "offset", *_blocks(F.col("half")))
+def _windows(rows: DataFrame, span: int, step: int, *keep: str) -> DataFrame:
+    """``keep, start, b0..b3`` of the windows of ``span`` words that begin at
+    multiples of ``step``."""
+    hashed = rows.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")).where(F.size("hashes") >= span)
+    starts = hashed.select(*keep, "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - span, F.lit(step))).alias("start"))
+    return starts.select(*keep, "start", *_fingerprint("hashes", F.col("start"), span))
 
 
-def document_windows(docs: DataFrame, half: int, span: int) -> DataFrame:
-    """``doc_id, start, b0..b3`` of the windows of ``span`` words that begin
-    at multiples of ``half``.
+def item_windows(items: DataFrame, span: int) -> DataFrame:
+    """Different fingerprints ``item_id, length, b0..b3`` of the items looked
+    for by ``span`` words."""
+    return _windows(items.where(F.col("span") == span), span, 1, "item_id", "length").drop("start").distinct()
 
-    One shuffle by document; counting and the join of neighbouring blocks
-    use its order.
-    """
-    rows = docs.select("doc_id", "text").repartition("doc_id").select(
-        # Rows that share a doc_id are told apart within their task.
-        "doc_id", F.monotonically_increasing_id().alias("row"), words_column(F.col("text")).alias("words")
-    )
-    words = rows.select("doc_id", "row", F.posexplode("words").alias("at", "word")).select(
-        "doc_id", "row", F.floor(F.col("at") / half).cast("int").alias("block"), F.xxhash64("word").alias("h")
-    )
-    blocks = words.groupBy("doc_id", "row", "block").agg(*_counters(F.lit(2 if span == 1 else 1).cast("long")), F.count(F.lit(1)).cast("int").alias("n"))
-    if span > 1:
-        following = "OVER (PARTITION BY doc_id, row ORDER BY block)"
-        nexts = [F.expr(f"lead({c}, 1, 0) {following}").alias(f"{c}_next") for c in ["n", *[f"c{k}" for k in range(8)]]]
-        both = blocks.select("doc_id", "block", "n", *[f"c{k}" for k in range(8)], *nexts)
-        blocks = both.select(
-            "doc_id", "block", (F.col("n") + F.col("n_next")).alias("n"),
-            *[(F.col(f"c{k}") + F.col(f"c{k}_next")).alias(f"c{k}") for k in range(8)],
-        )
-    return blocks.where(F.col("n") == span).select(
-        "doc_id", (F.col("block") * half).alias("start"), *_blocks(F.lit(half))
-    )
+
+def document_windows(docs: DataFrame, span: int) -> DataFrame:
+    """``doc_id, n, start, b0..b3``: windows of a document of ``n`` words."""
+    rows = docs.select("doc_id", words_column(F.col("text")).alias("words")).select("doc_id", "words", F.size("words").alias("n"))
+    return _windows(rows, span, span if span == SPAN else 1, "doc_id", "n")
 
 
 def _keys(side: DataFrame, *keep: str) -> DataFrame:
@@ -144,22 +106,45 @@ def _keys(side: DataFrame, *keep: str) -> DataFrame:
     return side.select(*keep, *[f"b{j}" for j in range(4)], F.posexplode(F.array(*[f"b{j}" for j in range(4)])).alias("part", "key"))
 
 
-def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, item_id, begin``: where an item may start in a document."""
-    probes = staged(item_windows(items), "item-windows")
-    classes = sorted((r.half, r.span) for r in items.select("half", "span").distinct().collect())
-    small = probes.count() <= BROADCAST_ROWS
+def _begins(length: Column, span: int, n: Column, at: Column, threshold: float) -> Column:
+    """Starts of the stretches of ``length`` words that hold as many of the
+    sorted window starts ``at`` as the threshold asks for."""
+    if span == SPAN:
+        sizes = length - (WORDS - 1) + F.least(length - (WORDS - 1), F.greatest(n - (WORDS - 1), F.lit(1)))
+        # A little less, against rounding.
+        enough = F.ceil(threshold / (1 + threshold) * sizes / SPAN - 1e-9).cast("int")
+    else:  # all of them
+        enough = length - span + 1
+    enough, reach = F.greatest(enough, F.lit(1)), length - span
+    ranges = F.transform(
+        F.sequence(F.lit(0), F.size(at) - enough),
+        lambda i: F.when(
+            at[i + enough - 1] - at[i] <= reach,
+            F.sequence(F.greatest(at[i + enough - 1] - reach, F.lit(0)), at[i]),
+        ).otherwise(F.array().cast("array<int>")),
+    )
+    return F.when(F.size(at) >= enough, F.array_distinct(F.flatten(ranges)))
+
+
+def candidates(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, item_id, length, begin``: where an item may start in a
+    document."""
     found = []
-    for half, span in classes:
-        left = _keys(document_windows(docs, half, span), "doc_id", "start").alias("d")
-        right = _keys(probes.where((F.col("half") == half) & (F.col("span") == span)), "item_id", "offset").alias("i")
-        found.append(
-            left.join(
-                F.broadcast(right) if small else right,
-                (F.col("d.part") == F.col("i.part")) & (F.col("d.key") == F.col("i.key")) & (_distance("d", "i") <= RADIUS),
-            ).select("d.doc_id", "i.item_id", (F.col("d.start") - F.col("i.offset")).alias("begin"))
+    for span in sorted(r.span for r in items.select("span").distinct().collect()):
+        probes = staged(item_windows(items, span), "item-windows")
+        left = _keys(document_windows(docs, span), "doc_id", "n", "start").alias("d")
+        right = _keys(probes, "item_id", "length").alias("i")
+        met = left.join(
+            F.broadcast(right) if probes.count() <= BROADCAST_ROWS else right,
+            (F.col("d.part") == F.col("i.part")) & (F.col("d.key") == F.col("i.key")) & (_distance("d", "i") <= RADIUS),
         )
-    return reduce(DataFrame.unionByName, found).distinct()
+        # Rows that share a doc_id are looked at together: more starts, none less.
+        places = met.groupBy("d.doc_id", "i.item_id", "i.length").agg(
+            F.min("d.n").alias("n"), F.sort_array(F.collect_set("d.start")).alias("at")
+        )
+        begins = _begins(F.col("length"), span, F.col("n"), F.col("at"), threshold)
+        found.append(places.select("doc_id", "item_id", "length", F.explode(begins).alias("begin")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _shingles(words: Column) -> Column:
@@ -171,19 +156,9 @@ def _shingles(words: Column) -> Column:
 
 
 def verified(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, item_id, begin, similarity`` of each candidate's best start.
-
-    Starts are tried as far from the candidate as edits below the threshold
-    can have moved the item.
-    """
-    slack = F.greatest(F.floor((F.col("length") - 4) / 7), F.lit(0)).cast("int")
+    """``doc_id, item_id, begin, similarity`` of each pair's best start."""
     item_side = items.select("item_id", "length", F.transform(_shingles(F.col("words")), lambda x: F.xxhash64(x)).alias("wanted"))
-    tries = (
-        found.join(items.select("item_id", "length"), "item_id")
-        .select("doc_id", "item_id", "length", F.explode(F.sequence(F.col("begin") - slack, F.col("begin") + slack)).alias("begin"))
-        .distinct()
-    )
-    per_document = tries.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "begin", "length")).alias("tries"))
+    per_document = found.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "begin", "length")).alias("tries"))
     shingled = (
         docs.select("doc_id", "text")
         .join(per_document, "doc_id")
@@ -197,7 +172,7 @@ def verified(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
     # An item of few words is one shingle of its own size.
     short = F.array(F.xxhash64(F.array_join(F.slice("words", F.col("begin") + 1, F.col("length")), " ")))
     one = one.withColumn("stretch", F.when(F.col("length") < WORDS, short).otherwise(F.slice("own", F.col("begin") + 1, F.greatest(F.col("length") - WORDS + 1, F.lit(1)))))
-    scored = one.select("doc_id", "item_id", "begin", "stretch").join(item_side.select("item_id", "wanted"), "item_id")
+    scored = one.select("doc_id", "item_id", "length", "begin", "stretch").join(item_side, ["item_id", "length"])
     # Multiplicities: shared weight is the sum of the smaller counts.
     both = F.array_distinct(F.array_intersect("stretch", "wanted"))
     times = lambda values, x: F.size(F.filter(values, lambda y: y == x))
@@ -223,7 +198,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     if items.isEmpty():
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, similarity double, begin int")
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = staged(candidates(known, items), "candidates")
+    found = staged(candidates(known, items, threshold), "candidates")
     return verified(known, items, found).where(F.col("similarity") >= threshold)
 
 

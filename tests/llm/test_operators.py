@@ -254,6 +254,33 @@ def test_decontamination_equals_brute_force(spark, docs, empty):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).collect() == []
 
 
+def test_decontamination_finds_copies_changed_at_an_end_at_every_place(spark):
+    """First or last 1-4 words changed, for every length and document offset."""
+    items = {n: prose(1000 + n, n) for n in range(5, 81)}
+    rows, want = [], set()
+    for n, item in items.items():
+        for k in range(5):
+            if (n - 4 - k) / (n - 4 + k) >= 0.75:
+                for at in ({*range(k)}, {*range(n - k, n)}):
+                    for offset in range(11):
+                        want.add((len(rows), n))
+                        rows.append((len(rows), f"{prose(3000 + n, offset)} {edited(item, sorted(at))} {prose(4000 + n, 6)}"))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    assert want <= {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table, benchmark).collect()}
+
+
+def test_decontamination_finds_parts_in_another_order(spark):
+    words = prose(50, 60).split()
+    turned = [words[30:] + words[:30], words[45:] + words[:45], words[40:] + words[20:40] + words[:20]]
+    rows = [(10 * i + o, " ".join([*prose(80, 70 + o).split(), *t, *prose(81, 70).split()])) for i, t in enumerate(turned) for o in range(4)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    got = {r.doc_id: (round(r.similarity, 3), r.begin) for r in decontaminate.contaminated(table, benchmark).collect()}
+    # Two breaks lose eight shingles of 56: 0.75.
+    assert got == {d: (0.75 if d >= 20 else 0.867, 70 + d % 10) for d, _ in rows}
+
+
 def test_pieces_round_trip_and_repeat(docs, empty):
     odd = ["a  b ", " ▁x▁ ", "é漢字\n\x00 🙂", "   ", "\n\n", "x" * 3000, ""]
     encoder = pieces.Encoder()
