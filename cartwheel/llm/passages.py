@@ -6,8 +6,11 @@ to 128 bits.  A digest's earliest document in the order of ``doc_id`` keeps it,
 first place there; everywhere else the unit is removed and its offsets in the
 original text are reported.  Sentences find passages that sit inside a line.
 
-Units with fewer than ``MIN_WORDS`` words are left alone: short phrases recur
-by chance.
+Sentences and lines with fewer than ``MIN_WORDS`` words are also hashed together
+with the units that follow and that precede them, as many as it takes to reach
+``MIN_WORDS``: every unit of a repeated run of that size lies in such a stretch.
+Alone, a short sentence is left, as short phrases recur by chance, and a short
+line is removed from ``LINE_WORDS`` words on.
 """
 
 from __future__ import annotations
@@ -22,28 +25,47 @@ from cartwheel.llm.common import map_batches, table
 from cartwheel.session import staged
 
 MIN_WORDS = 8
+#: Words from which on a line counts by itself.
+LINE_WORDS = 3
 _LINE = re.compile(r"[^\n]+")
 _SENTENCE = re.compile(r"\S.*?(?:[.!?…。]+(?=\s|$)|$)\s*")
 _WORD = re.compile(r"[^\W_]+")
 
 
-def units(text: str, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int, bool]]:
-    """``digest, start, end, whole line`` of the units, lines before their
-    sentences.  A unit takes the white space behind it along."""
-    found = []
+def units(text: str, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int]]:
+    """``digest, start, end`` of the units and stretches of short ones, by
+    start, the longer first.  A unit takes the white space behind it along."""
+    found: dict[tuple[int, int], bytes] = {}
+    atoms: list[tuple[list[str], int, int]] = []  # sentences and lines of one
     for line in _LINE.finditer(text):
         words = _WORD.findall(line.group().lower())
-        if len(words) < min_words:
+        if not words:
             continue
         start, end = line.span()
-        found.append((_digest(words), start, end + (end < len(text)), True))
+        stop = end + (end < len(text))
+        if len(words) >= min(LINE_WORDS, min_words):
+            found[start, stop] = _digest(words)
         parts = list(_SENTENCE.finditer(text, start, end))
-        if len(parts) > 1:
-            for part in parts:
-                words = _WORD.findall(part.group().lower())
+        if len(parts) < 2:
+            atoms.append((words, start, stop))
+            continue
+        for part in parts:
+            words = _WORD.findall(part.group().lower())
+            if words:
+                atoms.append((words, part.start(), stop if part.end() == end else part.end()))
                 if len(words) >= min_words:
-                    found.append((_digest(words), *part.span(), False))
-    return found
+                    found[part.span()] = _digest(words)
+    for i, (words, _, _) in enumerate(atoms):
+        if len(words) < min_words:
+            for step in (1, -1):
+                first = last = i
+                size = len(words)
+                while size < min_words and 0 <= (k := (last + 1 if step > 0 else first - 1)) < len(atoms):
+                    first, last, size = min(first, k), max(last, k), size + len(atoms[k][0])
+                place = (atoms[first][1], atoms[last][2])
+                if size >= min_words and place not in found:
+                    found[place] = _digest([w for a in atoms[first : last + 1] for w in a[0]])
+    return [(digest, *place) for place, digest in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1]))]
 
 
 def _digest(words: list[str]) -> bytes:
@@ -54,20 +76,17 @@ def without(text: str, foreign: set[bytes], min_words: int = MIN_WORDS) -> tuple
     """Text without the units in ``foreign`` and without its own repeats, and
     the removed stretches as offsets in the original text.
 
-    Stretches that touch are reported as one.
+    Stretches that touch are reported as one.  A repeat begins behind the end
+    of the first occurrence.
     """
-    seen: set[bytes] = set()
+    seen: dict[bytes, int] = {}
     gone: list[list[int]] = []
-    for digest, start, end, _ in units(text, min_words):
-        if gone and start < gone[-1][1]:  # inside a removed line
-            seen.add(digest)
-            continue
-        if digest in foreign or digest in seen:
-            if gone and gone[-1][1] == start:
-                gone[-1][1] = end
+    for digest, start, end in units(text, min_words):
+        if digest in foreign or seen.setdefault(digest, end) <= start:
+            if gone and start <= gone[-1][1]:
+                gone[-1][1] = max(gone[-1][1], end)
             else:
                 gone.append([start, end])
-        seen.add(digest)
     kept, at = [], 0
     for start, end in gone:
         kept.append(text[at:start])

@@ -211,6 +211,26 @@ def test_repeated_passages(spark, empty):
     assert passages.drop_repeats(empty).collect() == []
 
 
+def test_repeated_short_lines_and_sentences(spark):
+    lines = "\n".join(f"{a} item of list" for a in ("red", "blue", "green", "white"))
+    run = "It was late. Nobody came. Then the long night began for all the people of the town. They slept. Day broke."
+    rows = [
+        (1, f"{prose(1, 20)}\nReleased under the MIT license\n{prose(2, 20)}"),
+        (2, f"{prose(3, 20)}\nReleased under the MIT license\n{prose(4, 20)}"),
+        (3, f"{prose(5, 20)}\n{lines}"),
+        (4, f"{lines}\n{prose(6, 20)}"),
+        (5, f"{prose(7, 20)}. {run} {prose(8, 20)}"),
+        (6, f"{prose(9, 20)}. {run} {prose(10, 20)}"),
+        (7, f"{prose(11, 20)}. Nobody came. {prose(12, 20)}"),
+        (8, "No way. No way. No way. No way. No way."),
+    ]
+    got = {r.doc_id: r for r in passages.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    want = dict(rows) | {2: f"{prose(3, 20)}\n{prose(4, 20)}", 4: prose(6, 20), 6: f"{prose(9, 20)}. {prose(10, 20)}"}
+    assert {i: r.text for i, r in got.items()} == want
+    for i, text in rows:
+        assert sum(b - a for a, b in got[i].removed) == got[i].n_removed_chars == len(text) - len(want[i])
+
+
 def test_decontamination_equals_brute_force(spark, docs, empty):
     item = prose(50, 60)
     lines = [item, prose(51, 14), prose(52, 7), "alpha beta", "gamma", None, "", item]
