@@ -5,7 +5,8 @@ each block alone by its length, its link density and its share of stop words:
 good, bad, or undecided (short, or near good).  The second pass settles undecided
 blocks from the nearest decided ones on either side.  Parts that never hold an
 article (menus, headers, footers, sidebars, forms, scripts, comments) are told
-by their tags, roles and class names, and count as decided bad.
+by their tags, roles and class names, and count as decided bad.  A name alone
+is no proof: a named part that holds the page's article is read all the same.
 """
 
 from __future__ import annotations
@@ -30,18 +31,27 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 # Elements whose text is never shown as text.
 _RAW = frozenset("script style noscript template svg math iframe object canvas textarea title head".split())
-_SKIPPED = frozenset("nav header footer aside form button select menu dialog audio video map figcaption".split())
+_SKIPPED = frozenset("nav header footer aside form button select menu dialog audio video map".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Class names, ids and roles of parts that are no article.
-_BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|related|recommended|"
-    r"ads?|advert|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|search|form|share|sharing|social|comments?|respond|replies|reply|disqus|discussion|"
-    r"copyright|legal|pagination|pager|tags|toc|skip|complementary|contentinfo|dialog)(?=$|[\s_-])",
-    re.I,
+# Class names, ids and roles of parts that are no article, as whole tokens:
+# each hyphen part is one of these words or says only which or where.
+_BOILERPLATE = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side aside widget widgets related recommended "
+    "notice alert overlay modal subscribe subscription signup login search form share sharing social legal pagination pager tags toc skip "
+    "complementary contentinfo dialog".split()
 )
+# The same, of parts that hold no article even where they hold the only text.
+_NEVER = frozenset(
+    "ad ads advert advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr popup newsletter "
+    "comment comments respond replies reply disqus discussion copyright".split()
+)
+_WHICH = frozenset(
+    "site global main top bottom left right primary secondary inner outer wrapper wrap container box bar block area section list links link "
+    "buttons button icons posts articles stories items item policy thread text to content".split()
+)
+_TOKEN_PARTS = re.compile(r"[-_]+")
 
 
 @dataclass
@@ -51,6 +61,10 @@ class Block:
     heading: bool
     boilerplate: bool
     inside_article: bool
+    #: Named parts around it: number, and whether it may hold an article.
+    named: tuple[tuple[int, bool], ...] = ()
+    #: How many of them are around its innermost article or main element.
+    article_at: int = 0
     label: str = field(default="", compare=False)
 
 
@@ -59,7 +73,11 @@ class _Reader:
 
     def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool]] = []  # name, starts a left-out part
+        # Name, starts a left-out part, starts a named part.
+        self.open: list[tuple[str, bool, bool]] = []
+        self.named: list[tuple[int, bool]] = []
+        self.names = 0
+        self.below: list[int] = []  # named parts around each open article
         self.parts: list[str] = []
         self.link_chars = self.links = self.left_out = self.articles = self.headings = 0
 
@@ -72,7 +90,7 @@ class _Reader:
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(text, self.link_chars, self.headings > 0, self.left_out > 0, self.articles > 0))
+            self.blocks.append(Block(text, self.link_chars, self.headings > 0, self.left_out > 0, self.articles > 0, tuple(self.named), self.below[-1] if self.below else 0))
         self.parts, self.link_chars = [], 0
 
     def _count(self, name: str, left_out: bool, by: int) -> None:
@@ -91,24 +109,41 @@ class _Reader:
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):  # closed by the next of its kind
             self._close_open(name, ("ul", "ol", "table", "dl", "div", "article", "section", "body", "blockquote"))
         inside_article = self.articles > 0 and name == "header"
-        left_out = (name in _SKIPPED and not inside_article) or self._named(name, tag)
-        self.open.append((name, left_out))
+        left_out = (name in _SKIPPED and not inside_article) or self._hidden(tag)
+        words = frozenset() if left_out else self._named(name, tag)
+        if words:
+            self.names += 1
+            self.named.append((self.names, not words & _NEVER))
+        self.open.append((name, left_out, bool(words)))
         self._count(name, left_out, 1)
+        if name in ("article", "main"):
+            self.below.append(len(self.named))
 
     @staticmethod
-    def _named(name: str, tag: str) -> bool:
-        if name in ("html", "body", "article", "main"):
-            return False
+    def _hidden(tag: str) -> bool:
         for key, value in _ATTRIBUTE.findall(tag):
             key, value = key.lower(), value.strip("\"'")
             if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
                 return True
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-            if key in ("class", "id", "role") and _BOILERPLATE.search(value):
-                return True
         return False
 
+    def _named(self, name: str, tag: str) -> frozenset[str]:
+        """The telling words of the element's class, id and role."""
+        if name in ("html", "body", "article", "main"):
+            return frozenset()
+        found: set[str] = set()
+        for key, value in _ATTRIBUTE.findall(tag):
+            if key.lower() in ("class", "id", "role"):
+                for token in value.strip("\"'").lower().split():
+                    words = {w for w in _TOKEN_PARTS.split(token) if w}
+                    if token == "header" and self.articles:
+                        continue  # like the element of that name
+                    if words <= _BOILERPLATE | _NEVER | _WHICH:
+                        found |= words - _WHICH
+        return frozenset(found)
+
     def _close_open(self, name: str, walls: tuple[str, ...]) -> None:
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == name:
@@ -118,8 +153,12 @@ class _Reader:
                 return
 
     def _drop(self, depth: int) -> None:
-        for name, left_out in self.open[depth:]:
+        for name, left_out, named in self.open[depth:]:
             self._count(name, left_out, -1)
+            if named:
+                self.named.pop()
+            if name in ("article", "main"):
+                self.below.pop()
         del self.open[depth:]
 
     def end(self, name: str) -> None:
@@ -181,6 +220,24 @@ def _first_pass(block: Block, stop_words: frozenset[str]) -> str:
     return "near" if block.inside_article else "bad"
 
 
+def _holders(blocks: list[Block], stop_words: frozenset[str]) -> set[int]:
+    """Named parts that hold the page's article: text of an article or main
+    element, or most of the page's good text, and no good text of an article
+    or main element is outside."""
+    labels = [_first_pass(b, stop_words) for b in blocks]
+    wanted = "good" if "good" in labels else "near"
+    good = [b for b, label in zip(blocks, labels, strict=True) if label == wanted]
+    total, found = sum(len(b.text) for b in good), set()
+    for number, may_hold in {n for b in good for n in b.named}:
+        inside = [b for b in good if any(n == number for n, _ in b.named)]
+        # An element below the part, not around it.
+        below = any(b.article_at >= [n for n, _ in b.named].index(number) + 1 for b in inside)
+        most = may_hold and 2 * sum(len(b.text) for b in inside) > total
+        if (below or most) and not any(b.inside_article for b in good if all(n != number for n, _ in b.named)):
+            found.add(number)
+    return found
+
+
 def classify(blocks: list[Block], stop_words: frozenset[str]) -> None:
     """Sets ``label`` of each block to good or bad.
 
@@ -190,6 +247,10 @@ def classify(blocks: list[Block], stop_words: frozenset[str]) -> None:
     Without any decided neighbour, near-good blocks and those inside an
     article are good.
     """
+    if any(b.named for b in blocks):
+        holders = _holders(blocks, stop_words)
+        for block in blocks:
+            block.boilerplate |= any(n not in holders for n, _ in block.named)
     for block in blocks:
         block.label = _first_pass(block, stop_words)
     decided = [(i, b.label) for i, b in enumerate(blocks) if b.label in ("good", "bad")]

@@ -150,6 +150,24 @@ def test_html_extraction(spark):
     assert {r.page_id: r.text for r in got if r.page_id in (2, 3, None)} == {2: "", 3: "", None: ""}
 
 
+def test_html_names_do_not_swallow_the_article():
+    stop_words = frozenset("the of this is to be and it has that for in".split())
+    body = " ".join(["The first block of this article is long enough to be judged, and it has the common words that the rules look for in it."] * 2)
+    other = body.replace("first", "other")
+    side = "<div class='site-header'>Site</div><div class='cookie-notice'>We use cookies for this</div>"
+    inner = f"<div class='article-header'><h1>Title</h1></div><p>{body}</p><figure><figcaption>What is seen</figcaption></figure>"
+    comments = f"<div id='comments'><article class='comment'><p>{other}</p></article></div>"
+    whole = f"Title {body} What is seen"
+    for name in ("class='layout has-sidebar'", "id='search-page'", "class='legal-news'", "class='sidebar'", "id=search", "class='widget area'"):
+        assert extract.main_text(f"{side}<div {name}><article>{inner}</article></div>", stop_words) == whole, name
+        assert extract.main_text(f"{side}<div {name}><article>{inner}{comments}</article></div>", stop_words) == whole, name
+        assert extract.main_text(f"{side}<div {name}><article>{inner}</article>{comments}</div>", stop_words) == whole, name
+        assert extract.main_text(f"{side}<div {name}><p>{body}</p></div>", stop_words) == body, name
+    # Named parts beside the article, or with no article at all, stay out.
+    assert extract.main_text(f"<article>{inner}</article><div class='sidebar'><p>{other}</p></div>", stop_words) == whole
+    assert extract.main_text(f"<div class='cookie-notice'><p>{other}</p></div>", stop_words) == ""
+
+
 def test_quality(spark, docs, empty):
     rows, labels = [], []
     for i in range(400):
