@@ -1,10 +1,15 @@
 """PII replaced by surrogates, in DataFrame operations only.
 
 Method.  One expression finds e-mail addresses, payment cards, phone numbers,
-IP addresses, account numbers, access keys and titled names.  The different
-entities of all texts form a table; each gets a surrogate made from a keyed
-hash of its type and value, so an entity has the same surrogate in every text
-and run (coreference).  Surrogates keep the form: letters stay letters of the
+IP addresses, account numbers, access keys, quoted hexadecimal secrets and
+titled names.  The different entities of all texts form a table; each gets a
+surrogate made from a keyed hash of its type and normalised value, so an entity
+has the same surrogate in every text and run, however it is written
+(coreference): cards, phones and accounts are told by their letters and digits,
+addresses in lower case, and each mention is written in its own form.  Parts of
+a titled name that recur without title in the same text are replaced too.  A
+given name behind a title of either gender is the one behind the other titles,
+where the texts hold it for one gender only.  Surrogates keep the form: letters stay letters of the
 same case and script, digits stay digits, marks stay; cards keep their check
 digit right, phones their country prefix, names the gender of their title.
 A surrogate that equals another entity's surrogate or any real entity is drawn
@@ -58,9 +63,17 @@ IP = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 IDENTITY = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 ACCOUNT = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 ACCESS = r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)"
+SECRET = (
+    r"(?<=[\"'])(?<=(?:token|secret|key|password|passwd)[\"']?\s{0,3}[:=]\s{0,3}[\"'])[0-9A-Fa-f]{16,}+(?=[\"'])"
+)
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.?(?: \p{{Lu}}[\p{{L}}'’-]++){{1,3}}"
-KINDS = {"email": EMAIL, "access": ACCESS, "account": ACCOUNT, "card": CARD, "identity": IDENTITY, "ip": IP, "phone": PHONE, "name": NAME}
-ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+KINDS = {"email": EMAIL, "access": ACCESS, "account": ACCOUNT, "card": CARD, "identity": IDENTITY, "ip": IP, "phone": PHONE, "secret": SECRET, "name": NAME}
+# A quoted secret goes first: its digits are no card.
+ANY = "|".join(f"(?:{p})" for p in [SECRET, *KINDS.values()])
+#: Kinds whose mentions differ in marks or case only.
+WRITTEN = ("email", "card", "phone", "account")
+# Country prefixes of one, two and three digits.
+COUNTRY = r"^(\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})|)"
 #: What every entity holds: spares most texts the long expression.
 HINT = rf"[@\d]|\b(?:{_TITLE})\b"
 
@@ -74,7 +87,8 @@ def mentions(text: Column) -> Column:
 def kind_of(value: Column) -> Column:
     """Type of an entity, by the expression that covers all of it."""
     kind = F.lit("name")
-    for name, pattern in reversed(KINDS.items()):
+    # What is before a secret is not part of it.
+    for name, pattern in reversed((KINDS | {"secret": "[0-9A-Fa-f]{16,}"}).items()):
         kind = F.when(value.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(kind)
     return kind
 
@@ -171,6 +185,27 @@ def _gender(title: Column) -> Column:
     return F.when(bare.isin(*TITLES["f"]), "f").when(bare.isin(*TITLES["m"]), "m").otherwise("u")
 
 
+def normal(value: Column, kind: Column) -> Column:
+    """The value by which mentions of one entity are told."""
+    return (
+        F.when(kind == "email", F.lower(value))
+        .when(kind == "card", F.regexp_replace(value, r"\D", ""))
+        .when(kind == "phone", F.regexp_replace(value, r"[^\d+]", ""))
+        .when(kind == "account", F.regexp_replace(value, " ", ""))
+        .otherwise(value)
+    )
+
+
+def _written(made: Column, mention: Column) -> Column:
+    """A surrogate in the marks and case of the mention."""
+    chars = F.filter(F.split(made, ""), lambda c: c.rlike(r"[\p{L}\p{N}]"))
+    own = F.filter(F.split(mention, ""), lambda c: c != "")
+    told = lambda c: c.rlike(r"[\p{L}\p{N}]")
+    before = lambda i: F.size(F.filter(F.slice(own, 1, i), told))
+    form = lambda c, x: F.when(c == F.lower(c), x).otherwise(F.upper(x))
+    return F.array_join(F.transform(own, lambda c, i: F.when(told(c), form(c, F.get(chars, before(i)))).otherwise(c)), "")
+
+
 def parts_of(value: Column, kind: Column) -> Column:
     """``kind, value`` of the parts that are mapped: a name's given names and
     surname apart, anything else whole."""
@@ -182,7 +217,7 @@ def parts_of(value: Column, kind: Column) -> Column:
             w.alias("value"),
         ),
     )
-    return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
+    return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), normal(value, kind).alias("value"))))
 
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
@@ -197,7 +232,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         F.when(kind == "email", _email(value, stream, secret, attempt))
         .when(kind == "card", _card(value, stream))
         .when(kind == "ip", _ip(stream))
-        .when(kind == "phone", keep(prefix(r"^(\+\d{1,3}(?=\D)|)")))
+        .when(kind == "phone", keep(prefix(COUNTRY)))
         .when(kind == "account", keep(prefix(r"^([A-Z]{2})")))
         .when(kind == "access", keep(prefix(r"^(....)")))
         .when(kind == "surname", _surname(value, stream))
@@ -235,12 +270,27 @@ def surrogates(parts: DataFrame, key: str = KEY) -> DataFrame:
     raise RuntimeError("surrogates did not become distinct")
 
 
-def _replaced(text: Column, found: Column, known: Column) -> Column:
-    """The text with each mention exchanged through the map ``known``."""
+def _untitled(text: Column, names: Column) -> Column:
+    """The text with each capitalised word exchanged that the map ``names``
+    holds in lower case."""
+
+    def exchanged(word: Column) -> Column:
+        name = F.try_element_at(names, F.lower(word))
+        cased = F.when((F.length(word) > 1) & (word == F.upper(word)), F.upper(name)).otherwise(name)
+        return F.when(word.rlike(r"^\p{Lu}"), F.coalesce(cased, word)).otherwise(word)
+
+    words = F.split(text, r"(?<![\p{L}\p{N}-])(?=\p{Lu})|(?<=\p{L})(?![\p{L}\p{N}-])", -1)
+    return F.when(names.isNull(), text).otherwise(F.array_join(F.transform(words, exchanged), ""))
+
+
+def _replaced(text: Column, found: Column, known: Column, names: Column) -> Column:
+    """The text with each mention exchanged through the map ``known``, and
+    untitled names between them through the map ``names``."""
 
     def exchanged(mention: Column) -> Column:
         kind = kind_of(mention)
-        whole = F.try_element_at(known, F.concat_ws("\x1f", kind, mention))
+        made = F.try_element_at(known, F.concat_ws("\x1f", kind, normal(mention, kind)))
+        whole = F.when(kind.isin(*WRITTEN), _written(made, mention)).otherwise(made)
         words = F.split(mention, " ")
         name = F.concat_ws(
             " ",
@@ -249,7 +299,7 @@ def _replaced(text: Column, found: Column, known: Column) -> Column:
         )
         return F.when(kind == "name", name).otherwise(whole)
 
-    between = F.split(text, ANY, -1)
+    between = F.transform(F.split(text, ANY, -1), lambda x: _untitled(x, names))
     return F.array_join(
         F.zip_with(between, F.transform(found, exchanged), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
     )
@@ -278,15 +328,33 @@ def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
         .distinct(),
         "parts",
     )
-    mapped = surrogates(parts, key)
+    # Names behind titles of either gender, where the texts tell it.
+    told = parts.where(F.col("kind").isin("given_f", "given_m")).groupBy("value").agg(
+        F.min("kind").alias("least"), F.max("kind").alias("most")
+    )
+    one = told.where("least = most").select(F.lit("given_u").alias("kind"), "value", F.col("least").alias("as_kind"))
+    parts = staged(
+        parts.join(one, ["kind", "value"], "left").select("text_key", "kind", "value", F.coalesce("as_kind", "kind").alias("as_kind")),
+        "parts",
+    )
+    mapped = surrogates(parts.select(F.col("as_kind").alias("kind"), "value"), key).withColumnRenamed("kind", "as_kind")
     # Equal texts share one map; its size is bounded by the text.
+    entry = F.struct(F.concat_ws("\x1f", "kind", "value"), "surrogate")
+    word = F.when(
+        F.col("kind") == "surname", F.struct(F.lower("value").alias("name"), F.initcap("surrogate").alias("surrogate"))
+    ).when(F.col("kind").startswith("given_"), F.struct(F.lower("value").alias("name"), F.col("surrogate")))
     maps = (
-        parts.join(mapped, ["kind", "value"])
+        parts.join(mapped, ["as_kind", "value"])
         .groupBy("text_key")
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "value"), "surrogate"))).alias("known"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("known"), F.array_sort(F.collect_set(word)).alias("words"))
+        # A word that stands for several names is the first of them.
+        .withColumn(
+            "words", F.filter("words", lambda x, i: (i == 0) | (F.get(F.col("words"), i - 1)["name"] != x["name"]))
+        )
+        .select("text_key", "known", F.when(F.size("words") > 0, F.map_from_entries("words")).alias("names"))
     )
     changed = found.join(maps, "text_key").select(
-        F.col("row").withField("text", _replaced(F.col("row.text"), F.col("found"), F.col("known"))).alias("row")
+        F.col("row").withField("text", _replaced(F.col("row.text"), F.col("found"), F.col("known"), F.col("names"))).alias("row")
     )
     return whole.where(~holds).unionByName(changed).select(*[F.col("row").getField(c).alias(c) for c in columns])
 

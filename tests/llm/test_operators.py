@@ -421,6 +421,24 @@ def test_pii(spark, empty):
     assert pii.replace_pii(empty).collect() == []
 
 
+def test_pii_mentions_of_one_entity(spark):
+    lines = [
+        "Mrs. Anna Smith came; Anna Smith left, SMITH too, but no Smithson or anna. Dr. Anna Smith wrote.",
+        "Pay 4539578763621486, that is 4539 5787 6362 1486. Call +49 30 1234 5678 or +49-30-1234-5678.",
+        "Mail Ann.Lee@mail5.example.com or ann.lee@MAIL5.example.com",
+        'token = "4f0c9a1be27d4f0c9a1be27d4f0c9a1be27d4f0c" and "4f0c9a1be27d4f0c" and DE44500105175407324931 DE44 5001 0517 5407 3249 31',
+    ]
+    got = {r.i: r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(lines)), "i int, text string")).collect()}
+    name = re.fullmatch(r"Mrs\. (\S+) (\S+) came; (\S+) (\S+) left, (\S+) too, but no Smithson or anna\. Dr\. (\S+) (\S+) wrote\.", got[0])
+    assert name and name[1] == name[3] == name[6] != "Anna" and name[2] == name[4] == name[7] != "Smith" and name[5] == name[2].upper()
+    pay = re.fullmatch(r"Pay (4\d{15}), that is (4\d{3} \d{4} \d{4} \d{4})\. Call (\+49 \d\d \d{4} \d{4}) or (\+49-\d\d-\d{4}-\d{4})\.", got[1])
+    assert pay[1] == pay[2].replace(" ", "") != "4539578763621486" and pay[3].replace(" ", "-") == pay[4] != "+49-30-1234-5678"
+    one, two = re.fullmatch(r"Mail (\S+) or (\S+)", got[2]).groups()
+    assert one.lower() == two.lower() != "ann.lee@mail5.example.com" and one[0].isupper() and two[0].islower()
+    secret = re.fullmatch(r'token = "([0-9a-z]{40})" and "4f0c9a1be27d4f0c" and (DE\d{20}) (DE\S\S .*)', got[3])
+    assert secret and "4f0c9a1be27d" not in secret[1] and secret[2] == secret[3].replace(" ", "") != "DE44500105175407324931"
+
+
 def test_pii_collisions_are_drawn_again(spark, monkeypatch):
     """With a tiny space of surrogates all still come out different."""
     monkeypatch.setattr(pii, "surrogate", lambda kind, value, attempt, key: F.concat(F.lit("s"), F.pmod(F.xxhash64(value, attempt), F.lit(40)).cast("string")))
