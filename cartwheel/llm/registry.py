@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartwheel.llm import decontaminate, extract, language, manifest, minhash, passages, pieces, pii, quality, spots, token_files
+from cartwheel.llm import decontaminate, extract, language, manifest, minhash, passages, pieces, pii, quality, sequence_files, spots, token_files
 from cartwheel.session import prepare
 
 
@@ -27,6 +27,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pieces.op8_sentencepiece,
         language.op9_language_id,
         pii.op10_pii_surrogates,
+        sequence_files.op12_token_sequences,
         manifest.op13_merkle_manifest,
     ]
     return {b.__name__: _prepared(b) for b in builds} | {"pipeline": corpus_pipeline.run}
