@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cartwheel.llm import decontaminate, extract, language, manifest, minhash, passages, pieces, pii, quality, sequence_files, spots, token_files
+from cartwheel.llm import decontaminate, divergence, extract, language, manifest, minhash, passages, pieces, pii, quality, sequence_files, spots, token_files
 from cartwheel.session import prepare
 
 
@@ -27,6 +27,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pieces.op8_sentencepiece,
         language.op9_language_id,
         pii.op10_pii_surrogates,
+        divergence.op11_divergence_audit,
         sequence_files.op12_token_sequences,
         manifest.op13_merkle_manifest,
     ]
@@ -37,6 +38,7 @@ def statements() -> dict[str, str]:
     sql = {
         "op6_minhash_near_dedup": minhash.OP6_SQL,
         "op7_benchmark_decontamination": decontaminate.OP7_SQL,
+        "op11_divergence_audit": divergence.OP11_SQL,
         "op13_merkle_manifest": manifest.OP13_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
