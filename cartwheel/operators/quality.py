@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.functions.scalars import flag
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class RowCheck:
     """A rule one row can break on its own."""
 
@@ -110,77 +111,154 @@ def violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     return rows.where(F.col(check.column).isNotNull()).join(known, check.column, "left_anti")
 
 
-def _missing_references(check: ReferenceCheck, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Offending rows counted per value before the join, so a value shared by
-    very many rows is one row of the join."""
-    used = (
-        tables[check.table]
-        .where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    known = tables[check.to_table].select(F.col(check.to_column).alias(check.column))
-    return used.join(known, check.column, "left_anti")
+def _as_text(columns: Sequence[Column], kinds: Sequence[T.DataType]) -> Column:
+    """One text per value, the same for equal values of one domain."""
+    if len(columns) == 1:
+        return columns[0].cast(kinds[0]).cast("string")
+    return F.to_json(F.struct(*[c.cast(k).alias(f"k{i}") for i, (c, k) in enumerate(zip(columns, kinds))]))
 
 
-def check_summary(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failures per check: table, column, rule, failures.
+def _common(kinds: Sequence[T.DataType]) -> T.DataType:
+    """A type in which keys of these types can be compared."""
+    if len(set(kinds)) == 1:
+        return kinds[0]
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        return T.LongType()
+    return T.DoubleType() if all(isinstance(k, T.NumericType) for k in kinds) else T.StringType()
 
-    All row rules of a table share one pass over it.  Key and reference rules
-    need a shuffle of the key column each.
+
+class _OnePass:
+    """Every check of a set of tables as counts over (domain, value) groups.
+
+    A domain is what a unique check compares, what references point to, or a
+    row rule.  A table gives, in one pass, a row for each of its key values and
+    each rule a row breaks; role 0 is the domain's owner, others its users.
     """
-    parts: list[DataFrame] = []
-    for table in dict.fromkeys(c.table for c in checks if isinstance(c, RowCheck)):
-        rules = [c for c in checks if isinstance(c, RowCheck) and c.table == table]
-        counts = tables[table].agg(
-            *[F.coalesce(F.sum(flag(c.violated)), F.lit(0)).alias(f"n{i}") for i, c in enumerate(rules)]
-        )
-        lines = F.array(
-            *[
-                F.struct(
-                    F.lit(c.table).alias("table_name"),
-                    F.lit(c.column).alias("column_name"),
-                    F.lit(c.rule).alias("rule"),
-                    F.col(f"n{i}").alias("failures"),
-                )
-                for i, c in enumerate(rules)
-            ]
-        )
-        parts.append(counts.select(F.inline(lines)))
-    for check in checks:
+
+    def __init__(self, checks: Sequence[Check], tables: Mapping[str, DataFrame]):
+        self.checks, self.tables = list(checks), tables
+        self.domains: dict[tuple, int] = {}
+        self.roles: dict[int, list[int]] = {}
+        self.rows: dict[str, list[Column]] = {}
+        kinds: dict[tuple, list[T.DataType]] = {}
+        for check in checks:
+            if isinstance(check, ReferenceCheck):
+                key = (check.to_table, (check.to_column,), None)
+                known = kinds.setdefault(key, [self._kind(check.to_table, check.to_column)])
+                known.append(self._kind(check.table, check.column))
+        self.kinds = {key: _common(found) for key, found in kinds.items()}
+        for number, check in enumerate(self.checks):
+            self._add(number, check)
+
+    def _kind(self, table: str, column: str) -> T.DataType:
+        return self.tables[table].schema[column].dataType
+
+    def _emit(self, table: str, domain: int, role: int, value: Column, when: Column) -> None:
+        line = F.struct(F.lit(domain).alias("domain"), F.lit(role).alias("role"), value.alias("value"))
+        self.rows.setdefault(table, []).append(F.when(when, line))
+
+    def _domain(self, table: str, columns: tuple[str, ...], where: str | None = None) -> int:
+        key = (table, columns, where)
+        if key not in self.domains:
+            self.domains[key] = len(self.domains)
+            kinds = [self.kinds.get(key, self._kind(table, c)) for c in columns]
+            present = F.lit(True) if where is None else F.expr(where)
+            for column in columns:
+                present = present & F.col(column).isNotNull()
+            self._emit(table, self.domains[key], 0, _as_text([F.col(c) for c in columns], kinds), present)
+        return self.domains[key]
+
+    def _add(self, number: int, check: Check) -> None:
         if isinstance(check, RowCheck):
-            continue
-        if isinstance(check, UniqueCheck):
-            failures = violations(check, tables).agg(F.count(F.lit(1)).alias("failures"))
+            self.domains[("rule", number)] = domain = len(self.domains)
+            self._emit(check.table, domain, 0, F.lit(None).cast("string"), check.violated)
+        elif isinstance(check, UniqueCheck):
+            self._domain(check.table, check.columns, check.where)
         else:
-            failures = _missing_references(check, tables).agg(
-                F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")
-            )
-        parts.append(
-            failures.select(
-                F.lit(check.table).alias("table_name"),
-                F.lit(check.column).alias("column_name"),
-                F.lit(check.rule).alias("rule"),
-                "failures",
-            )
+            domain = self._domain(check.to_table, (check.to_column,))
+            users = self.roles.setdefault(domain, [])
+            users.append(number)
+            kind = self.kinds[(check.to_table, (check.to_column,), None)]
+            value = F.col(check.column)
+            self._emit(check.table, domain, len(users), _as_text([value], [kind]), value.isNotNull())
+
+    def _failures(self, number: int, check: Check) -> Column:
+        if isinstance(check, RowCheck):
+            return F.sum(F.when(F.col("domain") == self.domains[("rule", number)], F.col("role0")))
+        if isinstance(check, UniqueCheck):
+            domain = self.domains[(check.table, check.columns, check.where)]
+            return F.sum(flag((F.col("domain") == domain) & (F.col("role0") > 1)).cast("bigint"))
+        domain = self.domains[(check.to_table, (check.to_column,), None)]
+        role = self.roles[domain].index(number) + 1
+        return F.sum(F.when((F.col("domain") == domain) & (F.col("role0") == 0), F.col(f"role{role}")))
+
+    def summary(self) -> DataFrame:
+        lines = [self.tables[table].select(F.inline(F.array(*rows))).where("domain IS NOT NULL") for table, rows in self.rows.items()]
+        last_role = max((len(users) for users in self.roles.values()), default=0)
+        groups = reduce(DataFrame.unionByName, lines).groupBy("domain", "value").agg(
+            *[F.count_if(F.col("role") == r).alias(f"role{r}") for r in range(last_role + 1)]
         )
-    return reduce(DataFrame.unionByName, parts)
+        counts = groups.agg(*[F.coalesce(self._failures(i, c), F.lit(0)).alias(f"n{i}") for i, c in enumerate(self.checks)])
+        shown = [
+            F.struct(
+                F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"), F.lit(c.rule).alias("rule"),
+                F.col(f"n{i}").cast("bigint").alias("failures"),
+            )
+            for i, c in enumerate(self.checks)
+        ]
+        return counts.select(F.inline(F.array(*shown)))
+
+
+def check_summary(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Failures per check: table, column, rule, failures.
+
+    Each table is read once, and all keys and references of all tables share
+    one shuffle.  A value that very many rows hold is counted before it.
+    """
+    return _OnePass(checks, tables).summary()
+
+
+class Observed:
+    """Row rules of one table counted while its rows are written.
+
+    ``rows`` passes the table on unchanged; once an action has run over it, the
+    counts are there without another pass.
+    """
+
+    def __init__(self, table: DataFrame, checks: Sequence[Check], name: str):
+        self.checks = [c for c in checks if isinstance(c, RowCheck) and c.table == name]
+        self.observation = Observation()
+        counts = [F.count_if(c.violated).alias(f"n{i}") for i, c in enumerate(self.checks)]
+        self.rows = table.observe(self.observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def failures(self) -> dict[RowCheck, int]:
+        found = self.observation.get
+        return {check: found[f"n{i}"] for i, check in enumerate(self.checks)}
 
 
 class CheckFailure(RuntimeError):
     """Raised by ``run_checks``; the message lists the failed checks."""
 
 
-def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> None:
-    """Gate between two layers: raises when any check has failures.
+def failing(checks: Sequence[Check], tables: Mapping[str, DataFrame], observed: Sequence[Observed] = ()) -> list[tuple[str, str, str, int]]:
+    """Table, column, rule and failures of the checks that do not hold.
 
-    Only one row per check reaches the driver.
+    Row rules that ``observed`` counted while their tables were written cost
+    nothing more.  Only one row per check reaches the driver.
     """
-    failed = check_summary(checks, tables).where("failures > 0").collect()
+    counted = {id(check): n for seen in observed for check, n in seen.failures().items()}
+    rest = [c for c in checks if id(c) not in counted]
+    found = [(c.table, c.column, c.rule, counted[id(c)]) for c in checks if counted.get(id(c))]
+    if rest:
+        found += [tuple(r) for r in check_summary(rest, tables).where("failures > 0").collect()]
+    return found
+
+
+def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame], observed: Sequence[Observed] = ()) -> None:
+    """Gate between two layers: raises when any check has failures."""
+    failed = failing(checks, tables, observed)
     if failed:
-        raise CheckFailure(
-            "; ".join(f"{r.table_name}.{r.column_name} {r.rule}: {r.failures}" for r in failed)
-        )
+        raise CheckFailure("; ".join(f"{table}.{column} {rule}: {n}" for table, column, rule, n in failed))
 
 
 def equal_rowcount(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import activity, campaign, daily_metrics, dimensions, facts, learning, oltp, quality
 from cartwheel.session import prepare, staged
-from cartwheel.sinks import tables
+from cartwheel.sinks import files, tables
 
 DAY_PARTITIONS = ("year", "month", "day")
 
@@ -49,12 +49,15 @@ def monthly_sales_mart(
     prepare(spark)
     silver = silver_dimensions(bronze)
     keep = (F.col("year") == year) & (F.col("month") == month)
-    orders = staged(oltp.orders(bronze["orders"], year, month), "orders")
-    joined = staged(
-        oltp.items_with_order(bronze["order_items"].where(keep).drop("year", "month"), orders), "items"
-    )
+    checks = quality.oltp_checks()
+    # Their row rules are counted while they are written.
+    seen_orders = quality.Observed(oltp.orders(bronze["orders"], year, month), checks, "orders")
+    orders = staged(seen_orders.rows, "orders")
+    lines = oltp.items_with_order(bronze["order_items"].where(keep).drop("year", "month"), orders)
+    seen_items = quality.Observed(lines, checks, "orders_items")
+    joined = staged(seen_items.rows, "items")
     items = joined.drop("customer_id", "order_date", "payment_method_id")
-    quality.run_checks(quality.oltp_checks(), {**silver, "orders": orders, "orders_items": items})
+    quality.run_checks(checks, {**silver, "orders": orders, "orders_items": items}, [seen_orders, seen_items])
 
     def upsert(rows: DataFrame, schema: str, table: str, key: str) -> None:
         tables.merge_into(rows, lake.path(schema, table), [key], DAY_PARTITIONS)
@@ -90,16 +93,18 @@ def behaviour_features(logs: DataFrame, include_anonymous: bool = False) -> Data
     return daily_metrics.user_behavior_features(daily, include_anonymous=include_anonymous)
 
 
-def _touched_days(batch: DataFrame, stored: DataFrame | None, key: str, column: str) -> set[dt.date]:
-    """Days of a batch's rows and of the stored rows they replace.
+def _touched_days(batch: DataFrame, path: str, key: str, column: str) -> DataFrame:
+    """Days of a batch's rows and of the stored rows they replace; only the
+    partitions that hold such rows are read.
 
     A handful of dates, whatever the number of rows.
     """
     day = F.col(column).cast("date").alias("day")
     days = batch.select(day)
-    if stored is not None:
-        days = days.unionByName(stored.join(batch.select(key), key, "left_semi").select(day))
-    return {r.day for r in days.distinct().collect() if r.day is not None}
+    before = tables.stored_rows(batch, path, [key], DAY_PARTITIONS, [column])
+    if before is not None:
+        days = days.unionByName(before.select(day))
+    return days.where("day IS NOT NULL").distinct()
 
 
 def _on_days(rows: DataFrame, column: str, days: list[dt.date]) -> DataFrame:
@@ -119,25 +124,35 @@ def daily_behaviour(spark: SparkSession, lake: Lake, logs: DataFrame, etl_date:
     then runs over stored user-days, not over sessions and actions.  Stored
     actions carry the user they arrived with, so they need no join to the
     sessions.
+
+    The touched dates are written down before the silver tables change and
+    struck off once the user-days and features are in place, so a run that
+    dies in between leaves them to the next one.
     """
     prepare(spark)
-    batches = {
-        "user_sessions": ("session_id", "timestamp", staged(activity.user_sessions(logs, etl_date), "sessions")),
-        "session_actions": (
-            "action_id", "action_timestamp",
-            staged(activity.session_actions(logs, etl_date, carry_user=True), "actions"),
+    checks = quality.activity_checks()
+    seen = {
+        "user_sessions": quality.Observed(activity.user_sessions(logs, etl_date), checks, "user_sessions"),
+        "session_actions": quality.Observed(
+            activity.session_actions(logs, etl_date, carry_user=True), checks, "session_actions"
         ),
     }
-    quality.run_checks(quality.activity_checks(), {name: batch for name, (_, _, batch) in batches.items()})
-    touched: set[dt.date] = set()
-    stored: dict[str, DataFrame] = {}
+    batches = {
+        "user_sessions": ("session_id", "timestamp", staged(seen["user_sessions"].rows, "sessions")),
+        "session_actions": ("action_id", "action_timestamp", staged(seen["session_actions"].rows, "actions")),
+    }
+    quality.run_checks(checks, {name: batch for name, (_, _, batch) in batches.items()}, list(seen.values()))
+    user_days = lake.path("ml", "user_daily_metric")
+    to_do = f"{user_days}.touched"
     for name, (key, stamp, batch) in batches.items():
+        days = _touched_days(batch, lake.path("silver", name), key, stamp)
+        days.coalesce(1).write.mode("append").parquet(to_do)
+    touched = {r.day for r in spark.read.parquet(to_do).distinct().collect()}
+    stored: dict[str, DataFrame] = {}
+    for name, (key, _, batch) in batches.items():
         path = lake.path("silver", name)
-        before = spark.read.schema(batch.schema).parquet(path) if tables.table_exists(spark, path) else None
-        touched |= _touched_days(batch, before, key, stamp)
         tables.merge_into(batch, path, [key], DAY_PARTITIONS)
         stored[name] = spark.read.schema(batch.schema).parquet(path).where(F.col("user_id").isNotNull())
-    user_days = lake.path("ml", "user_daily_metric")
     if touched:
         days = sorted(touched)
         daily = daily_metrics.user_daily_metric(
@@ -147,6 +162,7 @@ def daily_behaviour(spark: SparkSession, lake: Lake, logs: DataFrame, etl_date:
         tables.replace_partitions(daily, user_days, "activity_date", days)
     features = daily_metrics.user_behavior_features(spark.read.parquet(user_days))
     features.write.mode("overwrite").parquet(lake.path("ml", "user_behavior_3d_agg_feature"))
+    files.delete(spark, to_do)
 
 
 def daily_prediction(

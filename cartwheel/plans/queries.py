@@ -29,7 +29,7 @@ from cartwheel.operators import (
 )
 from cartwheel.plans.jobs import behaviour_features
 from cartwheel.session import prepare, shared_dir, staged
-from cartwheel.sinks import tables
+from cartwheel.sinks import snapshots, tables
 from cartwheel.sources import bronze, extract, shop_tables
 from cartwheel.streaming import ingest
 
@@ -483,9 +483,9 @@ def scd2_customers(s: Shop) -> DataFrame:
     first, second = _customer_snapshots(s)
     path = shared_dir(s.spark, "history")
     tracked = history.TRACKED["customers"]
-    tables.snapshot_table(first, path, "customer_id", tracked, SNAPSHOT_1)
-    tables.snapshot_table(second, path, "customer_id", tracked, SNAPSHOT_2)
-    return s.spark.read.parquet(path)
+    snapshots.snapshot_table(first, path, "customer_id", tracked, SNAPSHOT_1)
+    snapshots.snapshot_table(second, path, "customer_id", tracked, SNAPSHOT_2)
+    return snapshots.read_history(s.spark, path)
 
 
 @query
