@@ -5,9 +5,10 @@ without NULLs, so every batch but the last takes the same number of bytes and
 batch i lies at ``head + i * step``:
 
 * ``<shard>.tokens.arrows``: ``ids`` and ``mask``, fixed-size lists of
-  ``length`` numbers, ``rows`` sequences a batch.  The documents' ids stand one
-  behind the other; a mask is 1 over ids and 0 over the padding that fills the
-  last sequence of the shard.
+  ``length`` items, ``rows`` sequences a batch.  The documents' ids stand one
+  behind the other; a mask is true over ids and false over the padding that
+  fills the last sequence of the shard.  Ids take two bytes where the
+  vocabulary allows it, else four, a mask one bit.
 * ``<shard>.docs.arrows``: ``doc_id``, ``known`` (0 for a NULL id), ``start``
   (ids before the document in this shard) and ``n_tokens``.
 
@@ -62,17 +63,18 @@ def default_vocabulary() -> str:
 
 
 class WordEncoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as the bytes of little-endian numbers of type ``kind``."""
 
-    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
+    def __init__(self, vocabulary: str, end: int, remembered: int = REMEMBERED):
         # One task is one core; the library's own threads would be more.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
         self.remembered, self.words = remembered, {}
 
     def _encoded(self, words: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+        return [np.array(one.ids, self.kind).tobytes() for one in found]
 
     def _piece(self, text: str) -> bytes:
         words = text.split(" ")
@@ -103,21 +105,22 @@ class WordEncoder:
 class _Shard:
     """Writes one shard as documents arrive."""
 
-    def __init__(self, store: fs.FileSystem, folder: str, length: int, rows: int):
+    def __init__(self, store: fs.FileSystem, folder: str, kind: np.dtype, length: int, rows: int):
         name = f"{folder}/{uuid.uuid4().hex}"
+        self.kind, self.schema = kind, token_schema(kind, length)
         self.paths = (f"{name}.tokens.arrows", f"{name}.docs.arrows")
         self.length, self.rows = length, rows
         self.pending, self.pending_bytes, self.docs = [], 0, []
         self.n_docs = self.n_tokens = self.n_sequences = 0
         store.create_dir(folder, recursive=True)
         self.sinks = [store.open_output_stream(p) for p in self.paths]
-        self.writers = [pa.ipc.new_stream(s, t) for s, t in zip(self.sinks, (token_schema(length), DOCS_SCHEMA))]
+        self.writers = [pa.ipc.new_stream(s, t) for s, t in zip(self.sinks, (self.schema, DOCS_SCHEMA))]
 
     def add(self, doc_id: int | None, pieces: Iterator[bytes], end: int) -> None:
         start = self.n_tokens
         for ids in pieces:
             self._append(ids)
-        self._append(np.array([end], "<u4").tobytes())
+        self._append(np.array([end], self.kind).tobytes())
         self.docs.append((doc_id or 0, int(doc_id is not None), start, self.n_tokens - start))
         self.n_docs += 1
         if len(self.docs) == DOC_ROWS:
@@ -126,21 +129,21 @@ class _Shard:
     def _append(self, ids: bytes) -> None:
         self.pending.append(ids)
         self.pending_bytes += len(ids)
-        self.n_tokens += len(ids) // 4
-        if self.pending_bytes >= 4 * self.length * self.rows:
+        self.n_tokens += len(ids) // self.kind.itemsize
+        if self.pending_bytes >= self.kind.itemsize * self.length * self.rows:
             self._write_tokens(whole=True)
 
     def _write_tokens(self, whole: bool) -> None:
-        ids = np.frombuffer(b"".join(self.pending), "<u4")
+        ids = np.frombuffer(b"".join(self.pending), self.kind)
         size = self.length * self.rows
         full = len(ids) // size * size if whole else len(ids)
         for at in range(0, full, size):
             part = ids[at : min(at + size, full)]
-            mask = np.ones(len(part), np.uint8)
+            mask = np.ones(len(part), bool)
             if short := -len(part) % self.length:
                 part, mask = np.pad(part, (0, short)), np.pad(mask, (0, short))
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (part, mask)]
-            self.writers[0].write_batch(pa.RecordBatch.from_arrays(lists, schema=token_schema(self.length)))
+            self.writers[0].write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
             self.n_sequences += len(part) // self.length
         left = ids[full:].tobytes()
         self.pending, self.pending_bytes = [left], len(left)
@@ -163,8 +166,8 @@ class _Shard:
 DOCS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("known", pa.uint8()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def token_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def token_schema(kind: np.dtype, length: int) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 def file_store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -201,11 +204,11 @@ class TokenFile(BatchFile):
     def length(self) -> int:
         return self.schema.field("ids").type.list_size
 
-    def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """Ids and mask of a sequence, as views of the file."""
         batch, row = self.batch(number // self.rows), number % self.rows
-        cut = slice(row * self.length, (row + 1) * self.length)
-        return tuple(batch.column(c).flatten().to_numpy(zero_copy_only=True)[cut] for c in range(2))
+        ids, mask = (batch.column(c).flatten().slice(row * self.length, self.length) for c in range(2))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def stretch(self, start: int, count: int) -> Iterator[np.ndarray]:
         """``count`` ids from ``start`` on, as views of the file."""
@@ -238,11 +241,11 @@ def write_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = None, None
-        encoder = WordEncoder(vocabulary)
+        encoder = WordEncoder(vocabulary, end)
         for batch in batches:
             for i in range(batch.num_rows):
                 if shard is None:
-                    shard, number = _Shard(*file_store(folder), length, rows), batch.column(0)[i].as_py()
+                    shard, number = _Shard(*file_store(folder), encoder.kind, length, rows), batch.column(0)[i].as_py()
                 shard.add(batch.column(1)[i].as_py(), encoder.pieces(batch.column(2)[i].as_py() or ""), end)
         if shard is not None:
             shard.close()
@@ -293,9 +296,10 @@ def read_documents(shards: DataFrame, schema: str, work: Callable[[TokenFile, in
 
 
 def checksum(ids: TokenFile, start: int, count: int) -> dict:
+    """crc32 of the ids as little-endian numbers of four bytes."""
     crc = 0
     for part in ids.stretch(start, count):
-        crc = zlib.crc32(part, crc)
+        crc = zlib.crc32(part.astype("<u4", copy=False), crc)
     return {"ids_crc32": crc}
 
 
