@@ -20,17 +20,23 @@ order; the task streams them to one shard.  Shards are named anew by every
 attempt and only those in the returned shard table count, so a task that is
 repeated does no harm.
 
-Encoding.  The vocabulary drops white space and no rule of it looks past a
-blank, so a text's ids are those of its blank-separated words.  A task
-remembers the ids of words it has met, up to ``REMEMBERED`` of them.
+Encoding.  A vocabulary that drops white space and splits texts by ``SPLIT``
+treats each piece by itself, so a text's ids are those of its pieces, and a
+worker remembers the ids of pieces it has met.  Texts of plain Latin letters
+are split here and only new pieces go through the tokenizer's model; all other
+texts go through the whole tokenizer, a blank-separated word at a time.  With
+another kind of vocabulary every text is encoded at once.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +51,7 @@ from cartwheel.session import shared_dir, staged
 LENGTH = 2048
 ROWS = 64
 DOC_ROWS = 4096
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 #: Characters of a text that are encoded at once.
 PIECE_CHARS = 1 << 20
@@ -53,6 +59,24 @@ PIECE_CHARS = 1 << 20
 #: says where documents end.
 END = 2
 
+# How the vocabulary splits a normalised text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts in which lower case is a letter-by-letter matter, nothing composes, and
+#: letters, digits and blanks are these; the same split for them.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+
+def byte_signs() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: its
+    own where that can be printed, else the next one above 255."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_SIGNS = byte_signs()
+
 SHARDS = "shard int, tokens string, docs string, n_docs bigint, n_tokens bigint, n_sequences bigint"
 
 
@@ -68,30 +92,48 @@ class WordEncoder:
     def __init__(self, vocabulary: str, end: int, remembered: int = REMEMBERED):
         # One task is one core; the library's own threads would be more.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        with open(vocabulary, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.by_word = _splits(rules) == SPLIT and _normalizers(rules) == ["NFC", "Replace", "Lowercase"]
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.special = [t["content"] for t in rules["added_tokens"]]
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
-        self.remembered, self.words = remembered, {}
+        self.remembered, self.words, self.parts = remembered, {}, {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
     def _encoded(self, words: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, self.kind).tobytes() for one in found]
+        return [self._bytes(one.ids) for one in found]
 
-    def _piece(self, text: str) -> bytes:
-        words = text.split(" ")
-        new = [w for w in dict.fromkeys(words) if w not in self.words]
+    def _modelled(self, parts: Sequence[str]) -> list[bytes]:
+        model = self.tokenizer.model
+        return [self._bytes([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(BYTE_SIGNS))]) for p in parts]
+
+    def _looked_up(self, parts: list[str], known: dict[str, bytes], encode: Callable[[list[str]], list[bytes]]) -> bytes:
+        new = [p for p in dict.fromkeys(parts) if p not in known]
         if new:
-            if len(self.words) + len(new) > self.remembered:
-                self.words = {}
-                new = list(dict.fromkeys(words))
-            self.words.update(zip(new, self._encoded(new)))
-        ids = b"".join([self.words[w] for w in words])
-        for word in new:
-            if len(word) > LONGEST_REMEMBERED:
-                del self.words[word]
+            if len(known) + len(new) > self.remembered:
+                known.clear()
+                new = list(dict.fromkeys(parts))
+            known.update(zip(new, encode(new)))
+        ids = b"".join([known[p] for p in parts])
+        for part in new:
+            if len(part) > LONGEST_REMEMBERED:
+                del known[part]
         return ids
 
+    def _piece(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text) and not any(t in text for t in self.special):
+            return self._looked_up(PLAIN_SPLIT.findall(text.lower()), self.parts, self._modelled)
+        return self._looked_up(text.split(" "), self.words, self._encoded)
+
     def pieces(self, text: str) -> Iterator[bytes]:
-        """Ids of a text, a bounded stretch of it at a time."""
+        """Ids of a text, where possible a bounded stretch of it at a time."""
+        if not self.by_word:
+            yield from self._encoded([text])
+            return
         start = 0
         while len(text) - start > PIECE_CHARS:
             cut = text.find(" ", start + PIECE_CHARS)
@@ -102,6 +144,21 @@ class WordEncoder:
         yield self._piece(text[start:])
 
 
+def _splits(rules: dict) -> str | None:
+    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (steps[0].get("pattern") or {}).get("Regex")
+
+
+def _normalizers(rules: dict) -> list[str]:
+    return [n["type"] for n in (rules.get("normalizer") or {}).get("normalizers", [])]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(vocabulary: str, end: int) -> WordEncoder:
+    """One per worker process, so that tasks share what is remembered."""
+    return WordEncoder(vocabulary, end)
+
+
 class _Shard:
     """Writes one shard as documents arrive."""
 
@@ -241,7 +298,7 @@ def write_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = None, None
-        encoder = WordEncoder(vocabulary, end)
+        encoder = encoder_of(vocabulary, end)
         for batch in batches:
             for i in range(batch.num_rows):
                 if shard is None:
