@@ -349,7 +349,10 @@ def read_documents(shards: DataFrame, schema: str, work: Callable[[TokenFile, in
                 ids.close()
                 index.close()
 
-    return parts.repartition("docs", "part").mapInArrow(run, schema)
+    # The rows are small and the work behind them is not, so their number of
+    # tasks must not follow their size.
+    tasks = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(tasks, "docs", "part").mapInArrow(run, schema)
 
 
 def checksum(ids: TokenFile, start: int, count: int) -> dict:
