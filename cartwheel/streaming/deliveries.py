@@ -44,14 +44,16 @@ DELIVERY = StructType([*ACTIVITY_LOG.fields, StructField("delivered_at", Timesta
 #: Order of two deliveries of a session: time, then content, so a tie has one
 #: outcome whatever the order of arrival.
 ORDER = ["sent", "content"]
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def filing_day(closing: dt.timedelta = dt.timedelta(hours=2)) -> Column:
     """Start day of a session, or the day it was sent if that is later than
-    ``closing`` after the end of the start day."""
+    ``closing`` after the end of the start day.  Without a time sent the start
+    day, without a start the day sent."""
     start = F.to_date(as_stamp("timestamp"))
     closed = F.date_add(start, 1).cast("timestamp") + F.lit(closing)
-    return F.when(F.col("delivered_at") < closed, start).otherwise(F.to_date("delivered_at"))
+    return F.when(F.col("delivered_at") >= closed, F.to_date("delivered_at")).otherwise(F.coalesce(start, F.to_date("delivered_at")))
 
 
 def delivered(lines: DataFrame) -> DataFrame:
@@ -68,17 +70,18 @@ def _newest_of_state(key: tuple, frames: Iterable[pd.DataFrame], state: GroupSta
     if state.hasTimedOut:
         state.remove()
         return
-    # Of the newest content, the first time it was sent.
+    known = tuple(state.get) if state.exists else None
     rows = pd.concat(list(frames)).sort_values(ORDER)
-    other = (rows.content != rows.content.iloc[-1]).to_numpy().nonzero()[0]
-    best = rows.iloc[[other[-1] + 1 if len(other) else 0]]
-    sent, content = int(rows.sent.iloc[-1]), int(rows.content.iloc[-1])
-    known = state.get if state.exists else None
-    if known is None or (sent, content) > tuple(known):
+    if known is not None:
+        rows = rows[[pair > known for pair in zip(rows.sent, rows.content)]]
+    if len(rows):
+        sent, content = int(rows.sent.iloc[-1]), int(rows.content.iloc[-1])
         state.update((sent, content))
         # The same content sent again only moves the time.
-        if known is None or content != known[1]:
-            yield best
+        if known is None or content != known[1] or (rows.content != content).any():
+            # Of the newest content, the first time it was sent.
+            other = (rows.content != content).to_numpy().nonzero()[0]
+            yield rows.iloc[[other[-1] + 1 if len(other) else 0]]
     state.setTimeoutDuration(int(remember.total_seconds() * 1000))
 
 
@@ -147,4 +150,12 @@ def merge_deliveries(
         .foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
     )
-    return started(writer, every)
+    # State that is due to leave makes Spark run batches without data, for
+    # ever; it can wait for the next data.  The query keeps the settings of its
+    # start.
+    before = spark.conf.get(EMPTY_BATCHES)
+    spark.conf.set(EMPTY_BATCHES, "false")
+    try:
+        return started(writer, every)
+    finally:
+        spark.conf.set(EMPTY_BATCHES, before)
