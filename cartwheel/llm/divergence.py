@@ -53,7 +53,7 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(TERM_BYTES).split()
 
 
-def count_terms(docs: DataFrame) -> DataFrame:
+def count_terms(docs: DataFrame, held_sums: int = HELD_SUMS) -> DataFrame:
     """``lang, source, term, n, n_docs``, partial sums; a document without
     terms gives the NULL term, so that its group is known."""
     texts = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
@@ -82,7 +82,7 @@ def count_terms(docs: DataFrame) -> DataFrame:
                 n.update(found)
                 n_docs.update(found.keys())
                 held += len(n) - before
-                if held > HELD_SUMS:
+                if held > held_sums:
                     yield from sums()
                     groups, held = {}, 0
         yield from sums()
@@ -138,8 +138,10 @@ def block_distances(counts: np.ndarray, totals: list[int], terms: int, chosen: l
     roots, levels, values = _consed(counts, width)
     # Shares as Python numbers first: the product leaves 64 bits for counts
     # above nine billion.  The places behind the last term get share 1 in
-    # every group, so their distance is 0.
-    shares = np.array([[1 if v < 0 else 1 + SCALE * (v + 1) // (total + terms) for v in values.tolist()] for total in totals], np.int64)
+    # every group, so their distance is 0.  A group has no count above its total.
+    shares = np.array(
+        [[1 if v < 0 else 1 + SCALE * (min(v, total) + 1) // (total + terms) for v in values.tolist()] for total in totals], np.int64
+    )
     for group in chosen:
         others = np.arange(group + 1, groups)
         if not len(others):
@@ -162,7 +164,7 @@ def block_distances(counts: np.ndarray, totals: list[int], terms: int, chosen: l
             yield o, group, int(back[o])
 
 
-def _block(rows: pd.DataFrame) -> pd.DataFrame:
+def _block(rows: pd.DataFrame, pair_chunk: int) -> pd.DataFrame:
     """One group of ``pair_distances``: a block's counts, and a row with the
     id ``HEAD`` for every source of the language."""
     sources = rows[rows.id == HEAD].sort_values("number")
@@ -172,18 +174,18 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
     column = pd.Series(np.arange(len(terms)), index=terms.id)
     counts[seen.number.to_numpy(np.int64), column[seen.id].to_numpy()] = seen.n.to_numpy(np.int64)
     chunk = int(rows.chunk.iloc[0])
-    chosen = list(range(chunk * PAIR_CHUNK, min((chunk + 1) * PAIR_CHUNK, len(sources))))
+    chosen = list(range(chunk * pair_chunk, min((chunk + 1) * pair_chunk, len(sources))))
     found = block_distances(counts, sources.total.astype("int64").tolist(), int(sources.terms.iloc[0]), chosen)
     made = pd.DataFrame(found, columns=["number", "other", "value"])
     made.insert(0, "lang", rows.lang.iloc[0])
     return made
 
 
-def pair_distances(counts: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_distances(counts: DataFrame, groups: DataFrame, block_terms: int = BLOCK_TERMS, pair_chunk: int = PAIR_CHUNK) -> DataFrame:
     """``lang, number, other, value`` for each ordered pair of sources of a
     language with kept terms."""
-    blocks = F.ceil(F.col("terms") / BLOCK_TERMS)
-    chunks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("sources") - 1) / PAIR_CHUNK))).alias("chunk")
+    blocks = F.ceil(F.col("terms") / block_terms)
+    chunks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("sources") - 1) / pair_chunk))).alias("chunk")
     zero = F.lit(0).cast("bigint")
     known = groups.where("terms > 0 AND sources > 1")
     facts = counts.join(known.select("lang", "source", "number", "terms", "sources"), ["lang", "source"]).select(
@@ -195,21 +197,29 @@ def pair_distances(counts: DataFrame, groups: DataFrame) -> DataFrame:
         "lang", "block", chunks, "number", F.lit(HEAD).cast("bigint").alias("id"), zero.alias("lang_n"), zero.alias("n"), "total", "terms"
     )
     parts = facts.unionByName(heads).groupBy("lang", "block", "chunk")
-    found = parts.applyInPandas(_block, "lang string, number bigint, other bigint, value bigint")
+    found = parts.applyInPandas(lambda rows: _block(rows, pair_chunk), "lang string, number bigint, other bigint, value bigint")
     return found.groupBy("lang", "number", "other").agg(F.sum("value").alias("value"))
 
 
-def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> DataFrame:
+def audit(
+    docs: DataFrame,
+    min_docs: int = MIN_DOCS,
+    top: int = TOP_TERMS,
+    held_sums: int = HELD_SUMS,
+    block_terms: int = BLOCK_TERMS,
+    pair_chunk: int = PAIR_CHUNK,
+) -> DataFrame:
     """``lang, source, part, item, value, rank``: every source's distance to
     each other source of its language (part ``pair``), and the ``top`` terms
     that it uses more than its language does (part ``term``).
 
     NULL texts, languages and sources are empty ones; repeated rows count
     each; ties are ranked by the item's UTF-8 bytes; other columns are not
-    read; a language without kept terms has distances of 0; no rows give none.
+    read; the last three parameters size tasks and do not change the result;
+    a language without kept terms has distances of 0; no rows give none.
     """
     sums = staged(
-        count_terms(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "terms"
+        count_terms(docs, held_sums).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "terms"
     )
     kept = sums.where("term IS NOT NULL").groupBy("lang", "term").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n").alias("lang_n"), F.collect_list(F.struct("source", "n")).alias("uses")
@@ -229,7 +239,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     )
     other = groups.select("lang", F.col("source").alias("item"), F.col("number").alias("other"))
     pairs = groups.select("lang", "source", "number").join(other, "lang").where("number <> other")
-    pairs = pairs.join(pair_distances(counts, groups), ["lang", "number", "other"], "left")
+    pairs = pairs.join(pair_distances(counts, groups, block_terms, pair_chunk), ["lang", "number", "other"], "left")
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("bigint").alias("value"))
     p, q = F.col("p"), F.col("q")
     used = counts.join(groups.select("lang", "source", "total", "terms", "lang_total"), ["lang", "source"]).select(

@@ -76,24 +76,24 @@ def parent(*digests: bytes) -> bytes:
     return sha256("".join(d.hex() for d in digests).encode()).digest()
 
 
-def block_nodes(digests: list[bytes], base: int, index: int, n: int) -> tuple[list[tuple[int, int, bytes | None]], int, bytes]:
+def block_nodes(digests: list[bytes], base: int, index: int, n: int, bits: int = BLOCK_BITS) -> tuple[list[tuple[int, int, bytes | None]], int, bytes]:
     """Level, place and sibling of the nodes of one block, whose lowest level
     is ``base`` of a tree with ``n`` leaves; then level and digest of its top."""
     nodes, level = [], base
-    for step in range(BLOCK_BITS):
+    for step in range(bits):
         if (n - 1) >> level == 0:
             break
-        first = index << (BLOCK_BITS - step)
+        first = index << (bits - step)
         nodes += [(level, first + i, digests[i ^ 1] if i ^ 1 < len(digests) else None) for i in range(len(digests))]
         digests = [parent(*digests[i : i + 2]) for i in range(0, len(digests), 2)]
         level += 1
     return nodes, level, digests[0]
 
 
-def _levels(leaves: DataFrame, base: int) -> DataFrame:
-    """Nodes of ``BLOCK_BITS`` levels above ``leaves`` (``tree, n, pos,
+def _levels(leaves: DataFrame, base: int, bits: int) -> DataFrame:
+    """Nodes of ``bits`` levels above ``leaves`` (``tree, n, pos,
     digest``), and one row with a digest for the top of each block."""
-    blocks = leaves.groupBy("tree", "n", F.shiftright("pos", BLOCK_BITS).alias("block")).agg(
+    blocks = leaves.groupBy("tree", "n", F.shiftright("pos", bits).alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "digest"))).alias("members")
     ).select("tree", "n", "block", F.col("members.digest").alias("digests"))
 
@@ -101,7 +101,7 @@ def _levels(leaves: DataFrame, base: int) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 tree, n, block, digests = (batch.column(c)[at].as_py() for c in range(4))
-                nodes, level, top = block_nodes(digests, base, block, n)
+                nodes, level, top = block_nodes(digests, base, block, n, bits)
                 rows = [(tree, n, lv, pos, sibling, None) for lv, pos, sibling in nodes]
                 rows.append((tree, n, level, block, None, top))
                 yield pa.RecordBatch.from_arrays(
@@ -112,7 +112,7 @@ def _levels(leaves: DataFrame, base: int) -> DataFrame:
     return blocks.mapInArrow(run, NODES)
 
 
-def build_forest(leaves: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+def build_forest(leaves: DataFrame, bits: int = BLOCK_BITS) -> tuple[DataFrame, DataFrame, int]:
     """Every tree over ``tree, n, pos, digest``: its nodes below the root
     (``tree, level, pos, seg``, the sibling's digest or nothing), the roots
     (``tree, n, root``), and the depth of the deepest tree."""
@@ -121,8 +121,8 @@ def build_forest(leaves: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     roots.append(rest.where("n = 1").select("tree", "n", F.col("digest").alias("root")))
     rest = rest.where("n > 1")
     while deepest >> base > 0:
-        made = staged(_levels(rest, base), "nodes")
-        base += BLOCK_BITS
+        made = staged(_levels(rest, base, bits), "nodes")
+        base += bits
         nodes.append(made.where("digest IS NULL").select("tree", "level", "pos", F.coalesce("sibling", F.lit(bytearray())).alias("seg")))
         tops = made.where("digest IS NOT NULL")
         done = F.shiftright(F.col("n") - 1, base) == 0
@@ -153,10 +153,10 @@ def _jumped(pointers: DataFrame, targets: DataFrame, span: int) -> DataFrame:
     )
 
 
-def with_proofs(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_proofs(leaves: DataFrame, bits: int = BLOCK_BITS) -> tuple[DataFrame, DataFrame]:
     """Adds ``seg`` to the leaves: digests of all siblings from the leaf to
     its root, joined; also gives the roots (``tree, n, root``)."""
-    nodes, roots, depth = build_forest(leaves)
+    nodes, roots, depth = build_forest(leaves, bits)
     own = nodes.where("level = 0").select("tree", "pos", "seg")
     empty = F.coalesce("seg", F.lit(bytearray())).alias("seg")
     pointers = leaves.join(own, ["tree", "pos"], "left").select(*leaves.columns, F.lit(0).alias("level"), empty)
@@ -186,12 +186,13 @@ def hex_text(name: str) -> Column:
     return F.lower(F.hex(name))
 
 
-def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, tampered: Column | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
     """``doc_id, lang, leaf, subroot, root, proof_sha256, folded_root,
     verified`` of every row.
 
     ``tampered`` is a condition on rows whose character count is taken one
-    higher when their proof is checked.  NULL ids come first, rows that share
+    higher when their proof is checked; trees are built ``block_bits`` levels
+    at a time.  NULL ids come first, rows that share
     an id follow each other by digest, equal rows are leaves of their own.
     NULL fields, empty and very long texts are digested as they are, other
     columns are not read.  No rows give no rows.
@@ -209,9 +210,9 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
         "leaves",
     )
     leaves = numbered(rows, ["lang"], ["doc_id", "digest", "copy"]).drop("copy")
-    proven, roots = with_proofs(leaves)
+    proven, roots = with_proofs(leaves, block_bits)
     langs = staged(roots.select(F.col("tree").alias("group"), F.col("root").alias("digest")), "roots")
-    top, root = with_proofs(numbered(langs, [], ["group"]))
+    top, root = with_proofs(numbered(langs, [], ["group"]), block_bits)
     whole = root.first()  # one row, or none without documents
     top = staged(
         top.select(
@@ -251,8 +252,8 @@ WITH RECURSIVE rows AS (
 leaves AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
   FROM (SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
-    sha256(head || coalesce(strlen((CASE WHEN xor(state, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END)::VARCHAR) || ':'
-      || (CASE WHEN xor(state, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END), '-') || tail) AS used FROM rows)),
+    sha256(head || coalesce(strlen((CASE WHEN doc_id IS NOT NULL AND xor(state, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END)::VARCHAR) || ':'
+      || (CASE WHEN doc_id IS NOT NULL AND xor(state, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END), '-') || tail) AS used FROM rows)),
 levels AS (
   SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS hs FROM leaves GROUP BY lang
   UNION ALL

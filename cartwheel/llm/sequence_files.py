@@ -162,11 +162,11 @@ def encoder_of(vocabulary: str, end: int) -> WordEncoder:
 class _Shard:
     """Writes one shard as documents arrive."""
 
-    def __init__(self, store: fs.FileSystem, folder: str, kind: np.dtype, length: int, rows: int):
+    def __init__(self, store: fs.FileSystem, folder: str, kind: np.dtype, length: int, rows: int, doc_rows: int = DOC_ROWS):
         name = f"{folder}/{uuid.uuid4().hex}"
         self.kind, self.schema = kind, token_schema(kind, length)
         self.paths = (f"{name}.tokens.arrows", f"{name}.docs.arrows")
-        self.length, self.rows = length, rows
+        self.length, self.rows, self.doc_rows = length, rows, doc_rows
         self.pending, self.pending_bytes, self.docs = [], 0, []
         self.n_docs = self.n_tokens = self.n_sequences = 0
         store.create_dir(folder, recursive=True)
@@ -180,7 +180,7 @@ class _Shard:
         self._append(np.array([end], self.kind).tobytes())
         self.docs.append((doc_id or 0, int(doc_id is not None), start, self.n_tokens - start))
         self.n_docs += 1
-        if len(self.docs) == DOC_ROWS:
+        if len(self.docs) == self.doc_rows:
             self._write_docs()
 
     def _append(self, ids: bytes) -> None:
@@ -278,7 +278,8 @@ class TokenFile(BatchFile):
 
 
 def write_shards(
-    docs: DataFrame, folder: str, vocabulary: str | None = None, length: int = LENGTH, rows: int = ROWS, end: int = END
+    docs: DataFrame, folder: str, vocabulary: str | None = None, length: int = LENGTH, rows: int = ROWS, end: int = END,
+    doc_rows: int = DOC_ROWS,
 ) -> DataFrame:
     """Writes the documents in ascending order of their id; returns the shard
     table, a row a shard, numbered in that order and kept in the shared folder.
@@ -302,7 +303,7 @@ def write_shards(
         for batch in batches:
             for i in range(batch.num_rows):
                 if shard is None:
-                    shard, number = _Shard(*file_store(folder), encoder.kind, length, rows), batch.column(0)[i].as_py()
+                    shard, number = _Shard(*file_store(folder), encoder.kind, length, rows, doc_rows), batch.column(0)[i].as_py()
                 shard.add(batch.column(1)[i].as_py(), encoder.pieces(batch.column(2)[i].as_py() or ""), end)
         if shard is not None:
             shard.close()
@@ -315,17 +316,20 @@ def write_shards(
     return staged(ordered.mapInArrow(run, SHARDS), "shards")
 
 
-def read_documents(shards: DataFrame, schema: str, work: Callable[[TokenFile, int, int], dict]) -> DataFrame:
+def read_documents(
+    shards: DataFrame, schema: str, work: Callable[[TokenFile, int, int], dict], doc_rows: int = DOC_ROWS
+) -> DataFrame:
     """``doc_id, start, n_tokens`` of every document of the shards, and what
     ``work(file, first, count)`` gives for its stretch of ids (columns of
-    ``schema``).  A task reads ``DOC_ROWS`` documents at a time."""
+    ``schema``).  A task reads ``doc_rows`` documents at a time, as many as a
+    batch of the document files holds."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     # One row per shard.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = shards.withColumn("first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    last = F.floor((F.col("n_docs") - 1) / DOC_ROWS)
+    last = F.floor((F.col("n_docs") - 1) / doc_rows)
     parts = numbered.select("tokens", "docs", "first", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("part"))
     schema = f"doc_id bigint, start bigint, n_tokens bigint, {schema}"
     target = to_arrow_schema(_parse_datatype_string(schema))
@@ -364,7 +368,8 @@ def checksum(ids: TokenFile, start: int, count: int) -> dict:
 
 
 def token_sequences(
-    docs: DataFrame, folder: str | None = None, vocabulary: str | None = None, length: int = LENGTH, rows: int = ROWS, end: int = END
+    docs: DataFrame, folder: str | None = None, vocabulary: str | None = None, length: int = LENGTH, rows: int = ROWS, end: int = END,
+    doc_rows: int = DOC_ROWS,
 ) -> DataFrame:
     """Writes the documents' ids and gives ``doc_id, start, n_tokens,
     ids_crc32`` of each, read back from the files.
@@ -373,8 +378,8 @@ def token_sequences(
     long texts are encoded and read a stretch at a time; no rows give no rows.
     """
     folder = folder or shared_dir(docs.sparkSession, "sequences")
-    shards = write_shards(docs, folder, vocabulary, length, rows, end)
-    return read_documents(shards, "ids_crc32 bigint", checksum)
+    shards = write_shards(docs, folder, vocabulary, length, rows, end, doc_rows)
+    return read_documents(shards, "ids_crc32 bigint", checksum, doc_rows)
 
 
 def op12_token_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
