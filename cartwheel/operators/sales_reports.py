@@ -19,9 +19,14 @@ from cartwheel.functions.scalars import date_key, flag, money_sum, quotient
 MONEY = "decimal(28,4)"
 
 
-def since_key(since: dt.date | str | None) -> Column:
-    """Filter on ``date_key``; no start keeps all days."""
-    return F.lit(True) if since is None else F.col("date_key") >= date_key(F.lit(since).cast("date"))
+def since_key(since: dt.date | str | None, until: dt.date | str | None = None) -> Column:
+    """Filter on ``date_key``, both ends included; an end not given is open."""
+    kept = F.lit(True)
+    if since is not None:
+        kept = kept & (F.col("date_key") >= date_key(F.lit(since).cast("date")))
+    if until is not None:
+        kept = kept & (F.col("date_key") <= date_key(F.lit(until).cast("date")))
+    return kept
 
 
 def _line_totals() -> list[Column]:
@@ -70,10 +75,12 @@ def _total(column: str) -> Column:
     return F.sum(column).cast("double")
 
 
-def daily_sales(totals: DataFrame, dim_date: DataFrame, since: dt.date | str | None = None) -> DataFrame:
+def daily_sales(
+    totals: DataFrame, dim_date: DataFrame, since: dt.date | str | None = None, until: dt.date | str | None = None
+) -> DataFrame:
     """Revenue, orders and mean line value by calendar day."""
     daily = (
-        totals.where(since_key(since))
+        totals.where(since_key(since, until))
         .groupBy("date_key")
         .agg(
             _total("revenue").alias("daily_revenue"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import flag, money_avg, ratio
 from cartwheel.operators.activity import session_columns
+from cartwheel.operators.ranking import exact_quantiles
 
 # Feature name -> action type it counts.
 TYPE_COUNTS = {
@@ -156,6 +157,8 @@ def feature_profile(features: DataFrame) -> DataFrame:
         F.avg("num_add_to_cart").alias("avg_cart_adds"),
         F.avg("unique_products_viewed").alias("avg_products"),
         F.avg(flag(F.col("label"))).alias("purchase_rate"),
+        F.avg("action_velocity").alias("avg_action_velocity"),
+        F.avg("cart_conversion_rate").alias("avg_cart_conversion"),
     )
 
 
@@ -185,17 +188,15 @@ def with_interactions(features: DataFrame) -> DataFrame:
     )
 
 
-def winsorised(features: DataFrame, column: str, low: float, high: float, accuracy: int = 10_000) -> DataFrame:
+def winsorised(features: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Clamps a column to its own quantiles.
 
-    The two bounds come from one approximate-quantile pass (relative error
-    ``1 / accuracy``) with a mergeable sketch, since exact quantiles would
-    gather all different values in one task; only these two numbers are compared with
-    every row.
+    The two bounds are exact (``ranking.exact_quantiles``) and the only values
+    the driver compares with every row.  NULL and NaN stay as they are.
     """
-    bounds = features.agg(
-        F.percentile_approx(F.col(column).cast("double"), [low, high], accuracy).alias("bounds")
-    )
-    limits = bounds.scalar()
+    least, most = exact_quantiles(features, column, [low, high])
+    if least is None:
+        return features
     value = F.col(column).cast("double")
-    return features.withColumn(column, F.greatest(F.least(value, limits[1]), limits[0]))
+    clamped = F.greatest(F.least(value, F.lit(most)), F.lit(least))
+    return features.withColumn(column, F.when(value.isNull() | F.isnan(value), value).otherwise(clamped))

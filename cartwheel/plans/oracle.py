@@ -711,7 +711,9 @@ def _statements() -> dict[str, str]:
         "feature_profile": _with(
             """SELECT avg(duration_seconds) AS avg_duration, avg(page_views) AS avg_page_views,
                       avg(num_add_to_cart) AS avg_cart_adds, avg(unique_products_viewed) AS avg_products,
-                      avg(CAST(label AS INTEGER)) AS purchase_rate FROM sf""",
+                      avg(CAST(label AS INTEGER)) AS purchase_rate,
+                      round(avg(action_velocity), 10) AS avg_action_velocity,
+                      round(avg(cart_conversion_rate), 10) AS avg_cart_conversion FROM sf""",
             "sf",
         ),
         "session_interactions": _with(

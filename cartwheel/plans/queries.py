@@ -308,7 +308,14 @@ _plain(
     "conversion_by_device", lambda s: session_features.conversion_by(s.session_features, "is_mobile")
 )
 _plain("label_counts", lambda s: session_features.label_counts(s.session_features))
-_plain("feature_profile", lambda s: session_features.feature_profile(s.session_features))
+
+
+@query
+def feature_profile(s: Shop) -> DataFrame:
+    # A mean of doubles depends on their order in the last digits.
+    profile = session_features.feature_profile(s.session_features)
+    return profile.withColumns({name: F.round(name, 10) for name in ("avg_action_velocity", "avg_cart_conversion")})
+
 
 
 @query
