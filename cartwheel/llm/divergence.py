@@ -1,8 +1,7 @@
 """How far the word use of each source is from that of the others.
 
-Counting.  A task counts the terms of its documents in memory, a bounded number
-of them, and hands out sums, so a frequent term or a hot source is a few rows
-per task.
+Counting.  A task counts the terms of some megabytes of text at once and hands
+out sums, so a frequent term or a hot source is a few rows per task.
 
 Trees.  A language's kept terms are dealt into blocks by a hash of their id.
 Inside a block every group (source) has a segment tree over the terms: a leaf
@@ -39,9 +38,8 @@ SCALE = 1_000_000_000
 TOP_TERMS = 200
 BLOCK_TERMS = 3600
 PAIR_CHUNK = 16
-#: Different (language, source, term) sums a task holds before it hands them out.
-HELD_SUMS = 300_000
-
+#: Bytes of text whose terms a task counts at once.
+HELD_BYTES = 16 << 20
 #: Stands for a term's id in rows that describe a source.
 HEAD = -1
 
@@ -53,39 +51,81 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(TERM_BYTES).split()
 
 
-def count_terms(docs: DataFrame, held_sums: int = HELD_SUMS) -> DataFrame:
-    """``lang, source, term, n, n_docs``, partial sums; a document without
-    terms gives the NULL term, so that its group is known."""
+def _rows(groups: list[tuple], of: np.ndarray, terms: pa.Array, n: np.ndarray, n_docs: np.ndarray) -> pa.RecordBatch:
+    """Sums as a batch, with a NULL term for each group so that it is known."""
+    of = np.concatenate([of, np.arange(len(groups))])
+    none = np.zeros(len(groups), np.int64)
+    langs, sources = (pa.array([g[i].decode() for g in groups]).take(pa.array(of)) for i in (0, 1))
+    words = pa.concat_arrays([terms, pa.nulls(len(groups), pa.string())])
+    counts = [pa.array(np.concatenate([v, none])) for v in (n, n_docs)]
+    return pa.RecordBatch.from_arrays([langs, sources, words, *counts], ["lang", "source", "term", "n", "n_docs"])
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(sorted_) else np.zeros(0, np.int64)
+
+
+def chunk_sums(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+    """Uses of each term, and documents that use it, by group over some
+    ``(lang, source, text)``."""
+    numbers: dict[tuple, int] = {}
+    group = np.array([numbers.setdefault(h[:2], len(numbers)) for h in held], np.int64)
+    texts = pa.array([h[2].translate(TERM_BYTES).strip() for h in held], pa.binary()).cast(pa.string())
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.flatten().dictionary_encode()
+    terms, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    size = max(len(terms), 1)
+    pairs = np.repeat(np.arange(len(held)), pc.list_value_length(split).to_numpy()) * size + codes
+    pairs.sort()
+    first = _starts(pairs)
+    uses, pairs = np.diff(np.append(first, len(pairs))), pairs[first]
+    by_group = group[pairs // size] * size + pairs % size
+    order = np.argsort(by_group, kind="stable")
+    by_group, uses = by_group[order], uses[order]
+    first = _starts(by_group)
+    n = np.add.reduceat(uses, first) if len(first) else uses
+    n_docs, by_group = np.diff(np.append(first, len(by_group))), by_group[first]
+    made = _rows(list(numbers), by_group // size, terms.take(pa.array(by_group % size)), n, n_docs)
+    # An empty text splits into one empty term.
+    return made.filter(pc.fill_null(pc.not_equal(made.column(2), ""), True))
+
+
+def long_text_sums(lang: bytes, source: bytes, text: bytes, piece: int) -> pa.RecordBatch:
+    """The same for one text, a piece at a time, so that only its different
+    terms are held at once."""
+    found, start = Counter(), 0
+    while start < len(text):
+        end = start + piece
+        # A piece ends between two terms.
+        while end < len(text) and TERM_BYTES[text[end]] != 32:
+            end += 1
+        found.update(terms_of(text[start:end]))
+        start = end
+    n = np.fromiter(found.values(), np.int64, len(found))
+    terms = pa.array(list(found), pa.binary()).cast(pa.string())
+    return _rows([(lang, source)], np.zeros(len(found), np.int64), terms, n, np.ones(len(found), np.int64))
+
+
+def count_terms(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
+    """``lang, source, term, n, n_docs``, partial sums; the NULL term stands
+    for a group, so that one without terms is known."""
     texts = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
-        held = 0
-
-        def sums() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, n_docs) in groups.items():
-                terms = list(n) or [None]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()),
-                        pc.cast(pa.array(terms, pa.binary()), pa.string()),
-                        pa.array([n[t] for t in terms], pa.int64()), pa.array([n_docs[t] for t in terms], pa.int64()),
-                    ],
-                    ["lang", "source", "term", "n", "n_docs"],
-                )
-
+        held, size = [], 0
         for batch in batches:
-            for lang, source, text in zip(batch.column(0), batch.column(1), batch.column(2)):
-                n, n_docs = groups.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-                before = len(n)
-                found = Counter(terms_of(pc.cast(text, pa.binary()).as_py()))
-                n.update(found)
-                n_docs.update(found.keys())
-                held += len(n) - before
-                if held > held_sums:
-                    yield from sums()
-                    groups, held = {}, 0
-        yield from sums()
+            for row in zip(*(c.cast(pa.binary()) for c in batch.columns)):
+                lang, source, text = (value.as_py() for value in row)
+                if len(text) > held_bytes:
+                    yield long_text_sums(lang, source, text, held_bytes)
+                    continue
+                held.append((lang, source, text))
+                size += len(text) + 1
+                if size > held_bytes:
+                    yield chunk_sums(held)
+                    held, size = [], 0
+        if held:
+            yield chunk_sums(held)
 
     return texts.mapInArrow(run, "lang string, source string, term string, n bigint, n_docs bigint")
 
@@ -205,7 +245,7 @@ def audit(
     docs: DataFrame,
     min_docs: int = MIN_DOCS,
     top: int = TOP_TERMS,
-    held_sums: int = HELD_SUMS,
+    held_bytes: int = HELD_BYTES,
     block_terms: int = BLOCK_TERMS,
     pair_chunk: int = PAIR_CHUNK,
 ) -> DataFrame:
@@ -219,7 +259,7 @@ def audit(
     a language without kept terms has distances of 0; no rows give none.
     """
     sums = staged(
-        count_terms(docs, held_sums).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "terms"
+        count_terms(docs, held_bytes).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs")), "terms"
     )
     kept = sums.where("term IS NOT NULL").groupBy("lang", "term").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n").alias("lang_n"), F.collect_list(F.struct("source", "n")).alias("uses")

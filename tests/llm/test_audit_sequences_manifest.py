@@ -96,7 +96,7 @@ def test_audit_equals_brute_force(docs):
 
 
 def test_audit_in_many_blocks_and_chunks(docs):
-    found = divergence.audit(docs, min_docs=1, top=3, held_sums=3, block_terms=2, pair_chunk=1)
+    found = divergence.audit(docs, min_docs=1, top=3, held_bytes=50, block_terms=2, pair_chunk=1)
     assert collected(found) == brute_audit(awkward(), 1, 3)
 
 
