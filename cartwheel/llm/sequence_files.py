@@ -51,7 +51,7 @@ from cartwheel.session import shared_dir, staged
 LENGTH = 2048
 ROWS = 64
 DOC_ROWS = 4096
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST_REMEMBERED = 64
 #: Characters of a text that are encoded at once.
 PIECE_CHARS = 1 << 20
@@ -92,11 +92,9 @@ class WordEncoder:
     def __init__(self, vocabulary: str, end: int, remembered: int = REMEMBERED):
         # One task is one core; the library's own threads would be more.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        with open(vocabulary, encoding="utf-8") as file:
-            rules = json.load(file)
-        self.by_word = _splits(rules) == SPLIT and _normalizers(rules) == ["NFC", "Replace", "Lowercase"]
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.special = [t["content"] for t in rules["added_tokens"]]
+        self.by_word = _splits(self.tokenizer) == SPLIT and _normalizers(self.tokenizer) == ["NFC", "Replace", "Lowercase"]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
         self.remembered, self.words, self.parts = remembered, {}, {}
 
@@ -144,13 +142,18 @@ class WordEncoder:
         yield self._piece(text[start:])
 
 
-def _splits(rules: dict) -> str | None:
-    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+def _rules(step: object | None) -> dict:
+    """What a step of a tokenizer says about itself."""
+    return json.loads(step.__getstate__()) if step is not None else {}
+
+
+def _splits(tokenizer: Tokenizer) -> str | None:
+    steps = _rules(tokenizer.pre_tokenizer).get("pretokenizers") or [{}]
     return (steps[0].get("pattern") or {}).get("Regex")
 
 
-def _normalizers(rules: dict) -> list[str]:
-    return [n["type"] for n in (rules.get("normalizer") or {}).get("normalizers", [])]
+def _normalizers(tokenizer: Tokenizer) -> list[str]:
+    return [n["type"] for n in _rules(tokenizer.normalizer).get("normalizers", [])]
 
 
 @lru_cache(maxsize=2)
