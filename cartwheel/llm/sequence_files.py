@@ -33,6 +33,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -51,7 +52,7 @@ from cartwheel.session import shared_dir, staged
 LENGTH = 2048
 ROWS = 64
 DOC_ROWS = 4096
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 #: Characters of a text that are encoded at once.
 PIECE_CHARS = 1 << 20
@@ -86,6 +87,24 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Pieces(dict):
+    """Ids of pieces of plain letters, encoded when first asked for."""
+
+    def __init__(self, tokenizer: Tokenizer, kind: np.dtype, limit: int):
+        self.model, self.limit = tokenizer.model, limit
+        self.code = "H" if kind.itemsize == 2 else "I"
+
+    def __missing__(self, piece: str) -> bytes:
+        signs = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_SIGNS)
+        found = self.model.tokenize(signs)
+        ids = struct.pack(f"<{len(found)}{self.code}", *[t.id for t in found])
+        if len(piece) <= LONGEST_REMEMBERED:
+            if len(self) >= self.limit:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of texts as the bytes of little-endian numbers of type ``kind``."""
 
@@ -96,36 +115,31 @@ class WordEncoder:
         self.by_word = _splits(self.tokenizer) == SPLIT and _normalizers(self.tokenizer) == ["NFC", "Replace", "Lowercase"]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
-        self.remembered, self.words, self.parts = remembered, {}, {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        self.remembered, self.words = remembered, {}
+        self.parts = _Pieces(self.tokenizer, self.kind, remembered)
 
     def _encoded(self, words: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [self._bytes(one.ids) for one in found]
-
-    def _modelled(self, parts: Sequence[str]) -> list[bytes]:
-        model = self.tokenizer.model
-        return [self._bytes([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(BYTE_SIGNS))]) for p in parts]
+        return [np.array(one.ids, self.kind).tobytes() for one in found]
 
-    def _looked_up(self, parts: list[str], known: dict[str, bytes], encode: Callable[[list[str]], list[bytes]]) -> bytes:
-        new = [p for p in dict.fromkeys(parts) if p not in known]
+    def _by_words(self, text: str) -> bytes:
+        words = text.split(" ")
+        new = [w for w in dict.fromkeys(words) if w not in self.words]
         if new:
-            if len(known) + len(new) > self.remembered:
-                known.clear()
-                new = list(dict.fromkeys(parts))
-            known.update(zip(new, encode(new)))
-        ids = b"".join([known[p] for p in parts])
-        for part in new:
-            if len(part) > LONGEST_REMEMBERED:
-                del known[part]
+            if len(self.words) + len(new) > self.remembered:
+                self.words = {}
+                new = list(dict.fromkeys(words))
+            self.words.update(zip(new, self._encoded(new)))
+        ids = b"".join([self.words[w] for w in words])
+        for word in new:
+            if len(word) > LONGEST_REMEMBERED:
+                del self.words[word]
         return ids
 
     def _piece(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not any(t in text for t in self.special):
-            return self._looked_up(PLAIN_SPLIT.findall(text.lower()), self.parts, self._modelled)
-        return self._looked_up(text.split(" "), self.words, self._encoded)
+            return b"".join(map(self.parts.__getitem__, PLAIN_SPLIT.findall(text.lower())))
+        return self._by_words(text)
 
     def pieces(self, text: str) -> Iterator[bytes]:
         """Ids of a text, where possible a bounded stretch of it at a time."""
