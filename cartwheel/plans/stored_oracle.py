@@ -69,6 +69,21 @@ def statements() -> dict[str, str]:
         "merge_campaign": _with(_CAMPAIGN_DAYS, "pr", "sc"),
         "stream_late_deliveries": f"SELECT * REPLACE (CAST(product_id AS VARCHAR) AS product_id) FROM ({_with(_DELIVERED, 'act')})",
         "dq_gate": _gates(),
+        "recent_predictions_cached": _with(
+            " UNION ALL ".join(
+                f"""SELECT {read} AS read_after, user_id, {_day('prediction_date')} AS prediction_date, purchase_probability FROM pr
+                    WHERE prediction_date BETWEEN DATE '2024-01-15' + {built} - 7 AND DATE '2024-01-15' + {built}"""
+                for read, built in ((0, 0), (6, 0), (7, 7))
+            ),
+            "pr",
+        ),
+        "daily_users_by_change": _with(
+            f"""SELECT utm_source, {_day('day')} AS day, count(DISTINCT user_id) AS users, count(DISTINCT session_id) AS sessions
+                FROM (SELECT utm_source, user_id, session_id,
+                             CAST(timestamp AS DATE) + CASE WHEN user_id % 4 = 0 THEN 1 ELSE 0 END AS day FROM us)
+                GROUP BY utm_source, day""",
+            "us",
+        ),
         "dq_history": _with("SELECT * FROM sc", "sc").replace("\nSELECT * FROM sc", _HISTORY_VIEW),
         "scd2_products": _with(
             _history(
