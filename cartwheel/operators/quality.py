@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -212,51 +212,27 @@ class _OnePass:
 def check_summary(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """Failures per check: table, column, rule, failures.
 
-    Each table is read once, and all keys and references of all tables share
-    one shuffle.  A value that very many rows hold is counted before it.
+    Each table is read once, for its row rules and keys alike, and all keys and
+    references of all tables share one shuffle.  A value that very many rows hold is counted before it.
     """
     return _OnePass(checks, tables).summary()
 
 
-class Observed:
-    """Row rules of one table counted while its rows are written.
-
-    ``rows`` passes the table on unchanged; once an action has run over it, the
-    counts are there without another pass.
-    """
-
-    def __init__(self, table: DataFrame, checks: Sequence[Check], name: str):
-        self.checks = [c for c in checks if isinstance(c, RowCheck) and c.table == name]
-        self.observation = Observation()
-        counts = [F.count_if(c.violated).alias(f"n{i}") for i, c in enumerate(self.checks)]
-        self.rows = table.observe(self.observation, F.count(F.lit(1)).alias("rows"), *counts)
-
-    def failures(self) -> dict[RowCheck, int]:
-        found = self.observation.get
-        return {check: found[f"n{i}"] for i, check in enumerate(self.checks)}
-
-
 class CheckFailure(RuntimeError):
     """Raised by ``run_checks``; the message lists the failed checks."""
 
 
-def failing(checks: Sequence[Check], tables: Mapping[str, DataFrame], observed: Sequence[Observed] = ()) -> list[tuple[str, str, str, int]]:
+def failing(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> list[tuple[str, str, str, int]]:
     """Table, column, rule and failures of the checks that do not hold.
 
-    Row rules that ``observed`` counted while their tables were written cost
-    nothing more.  Only one row per check reaches the driver.
+    Only one row per check reaches the driver.
     """
-    counted = {id(check): n for seen in observed for check, n in seen.failures().items()}
-    rest = [c for c in checks if id(c) not in counted]
-    found = [(c.table, c.column, c.rule, counted[id(c)]) for c in checks if counted.get(id(c))]
-    if rest:
-        found += [tuple(r) for r in check_summary(rest, tables).where("failures > 0").collect()]
-    return found
+    return [tuple(r) for r in check_summary(checks, tables).where("failures > 0").collect()]
 
 
-def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame], observed: Sequence[Observed] = ()) -> None:
+def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> None:
     """Gate between two layers: raises when any check has failures."""
-    failed = failing(checks, tables, observed)
+    failed = failing(checks, tables)
     if failed:
         raise CheckFailure("; ".join(f"{table}.{column} {rule}: {n}" for table, column, rule, n in failed))
 
