@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StopWordsRemover
@@ -26,8 +27,8 @@ MAX_LINKS = 0.33
 SHORT, LONG = 60, 160
 STOP_LOW, STOP_HIGH = 0.10, 0.22
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 # Elements whose text is never shown as text.
 _RAW = frozenset("script style noscript template svg math iframe object canvas textarea title head".split())
@@ -54,6 +55,14 @@ _WHICH = frozenset(
 _TOKEN_PARTS = re.compile(r"[-_]+")
 
 
+@dataclass
+class Part:
+    """An element whose name says it is no article."""
+
+    around: int  # the named part it is in; 0 for none
+    may_hold: bool  # whether it may hold an article all the same
+
+
 @dataclass
 class Block:
     text: str
@@ -61,10 +70,10 @@ class Block:
     heading: bool
     boilerplate: bool
     inside_article: bool
-    #: Named parts around it: number, and whether it may hold an article.
-    named: tuple[tuple[int, bool], ...] = ()
-    #: How many of them are around its innermost article or main element.
-    article_at: int = 0
+    #: Innermost named part around it, and around its innermost article or
+    #: main element; 0 for none.
+    part: int = 0
+    article_part: int = 0
     label: str = field(default="", compare=False)
 
 
@@ -75,9 +84,10 @@ class _Reader:
         self.blocks: list[Block] = []
         # Name, starts a left-out part, starts a named part.
         self.open: list[tuple[str, bool, bool]] = []
-        self.named: list[tuple[int, bool]] = []
-        self.names = 0
-        self.below: list[int] = []  # named parts around each open article
+        self.opened: Counter[str] = Counter()
+        self.named: list[Part] = [Part(0, True)]  # all of the page, by number
+        self.part = 0
+        self.around: list[int] = []  # innermost named part around each open article
         self.parts: list[str] = []
         self.link_chars = self.links = self.left_out = self.articles = self.headings = 0
 
@@ -90,10 +100,11 @@ class _Reader:
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(text, self.link_chars, self.headings > 0, self.left_out > 0, self.articles > 0, tuple(self.named), self.below[-1] if self.below else 0))
+            self.blocks.append(Block(text, self.link_chars, self.headings > 0, self.left_out > 0, self.articles > 0, self.part, self.around[-1] if self.around else 0))
         self.parts, self.link_chars = [], 0
 
     def _count(self, name: str, left_out: bool, by: int) -> None:
+        self.opened[name] += by
         self.links += by * (name == "a")
         self.articles += by * (name in ("article", "main"))
         self.headings += by * (name in _HEADINGS)
@@ -112,12 +123,12 @@ class _Reader:
         left_out = (name in _SKIPPED and not inside_article) or self._hidden(tag)
         words = frozenset() if left_out else self._named(name, tag)
         if words:
-            self.names += 1
-            self.named.append((self.names, not words & _NEVER))
+            self.named.append(Part(self.part, not words & _NEVER))
+            self.part = len(self.named) - 1
         self.open.append((name, left_out, bool(words)))
         self._count(name, left_out, 1)
         if name in ("article", "main"):
-            self.below.append(len(self.named))
+            self.around.append(self.part)
 
     @staticmethod
     def _hidden(tag: str) -> bool:
@@ -145,6 +156,8 @@ class _Reader:
         return frozenset(found)
 
     def _close_open(self, name: str, walls: tuple[str, ...]) -> None:
+        if not self.opened[name]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == name:
                 self._drop(depth)
@@ -153,17 +166,19 @@ class _Reader:
                 return
 
     def _drop(self, depth: int) -> None:
-        for name, left_out, named in self.open[depth:]:
+        for name, left_out, named in reversed(self.open[depth:]):
             self._count(name, left_out, -1)
             if named:
-                self.named.pop()
+                self.part = self.named[self.part].around
             if name in ("article", "main"):
-                self.below.pop()
+                self.around.pop()
         del self.open[depth:]
 
     def end(self, name: str) -> None:
         if name not in _INLINE:
             self.flush()
+        if not self.opened[name]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == name:
                 self._drop(depth)
@@ -173,32 +188,107 @@ class _Reader:
                 return
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Text blocks of a page in order; broken markup is read as it comes."""
-    reader, at, size = _Reader(), 0, len(page)
+class _Tags:
+    """Finds the tags of a page in time linear to its length.
+
+    A tag ends at the first ``>`` outside quotes.  Where it ends from a mark
+    (``>`` or a quote) on is remembered, so tags that never end cost one look
+    each and not the rest of the page.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.ends: dict[int, int] = {}  # mark to the end of its tag, -1 for none
+        self.last_close = page.rfind(">")
+        self.looked, self.mark = 0, -1  # no mark from the one to the other
+
+    def _next_mark(self, at: int) -> int:
+        if not self.looked <= at <= self.mark:
+            found = _MARK.search(self.page, at)
+            self.looked, self.mark = at, found.start() if found else len(self.page)
+        return self.mark
+
+    def _end(self, at: int) -> int:
+        passed, size = [], len(self.page)
+        while True:
+            mark = self._next_mark(at)
+            if mark == size:
+                end = -1
+                break
+            if mark in self.ends:
+                end = self.ends[mark]
+                break
+            passed.append(mark)
+            if self.page[mark] == ">":
+                end = mark + 1
+                break
+            close = self.page.find(self.page[mark], mark + 1)
+            if close < 0:
+                end = -1
+                break
+            at = close + 1
+        for mark in passed:
+            self.ends[mark] = end
+        return end
+
+    def after(self, at: int) -> tuple[int, int, str] | None:
+        """Start, end and name of the next tag; comments and declarations
+        have no name.  What never ends is text, but for comments."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if page.startswith(opening, start):
+                    close = page.find(closing, start + len(opening))
+                    return start, close + 3 if close >= 0 else len(page), ""
+            name = _NAME.match(page, start)
+            if name:
+                end = self._end(name.end())
+                if end >= 0:
+                    return start, end, name.group(1).lower()
+            elif page[start + 1 : start + 2] in ("!", "?"):
+                if start < self.last_close:
+                    return start, page.index(">", start) + 1, ""
+            at = start + 1
+        return None
+
+
+def _page(page: str) -> _Reader:
+    """A reader that has seen the whole page; broken markup is read as it
+    comes."""
+    reader, tags, at, size = _Reader(), _Tags(page), 0, len(page)
+    endless: set[str] = set()  # elements that are not closed any more
     while at < size:
-        found = _TOKEN.search(page, at)
+        found = tags.after(at)
         if not found:
             reader.text(page[at:])
             break
-        if found.start() > at:
-            reader.text(page[at : found.start()])
-        at, tag = found.end(), found.group()
-        if tag[1] in "!?":
+        start, end, name = found
+        if start > at:
+            reader.text(page[at:start])
+        tag, at = page[start:end], end
+        if not name:
             continue
-        name = _NAME.match(tag).group(1).lower()
         if tag[1] == "/":
             reader.end(name)
         elif name in _RAW:
             if name == "head":
                 continue
             reader.flush()
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = close.end() if close else (size if name in ("script", "style") else at)
+            close = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if close:
+                at = close.end()
+            else:
+                endless.add(name)
+                at = size if name in ("script", "style") else at
         else:
             reader.start(name, tag)
     reader.flush()
-    return reader.blocks
+    return reader
+
+
+def blocks_of(page: str) -> list[Block]:
+    """Text blocks of a page in order."""
+    return _page(page).blocks
 
 
 def _first_pass(block: Block, stop_words: frozenset[str]) -> str:
@@ -207,12 +297,11 @@ def _first_pass(block: Block, stop_words: frozenset[str]) -> str:
     solid = len(block.text.replace(" ", ""))
     if block.link_chars > MAX_LINKS * solid:
         return "bad"
-    if "©" in block.text[:40]:
-        return "bad"
     words = block.text.lower().split()
     share = sum(w.strip(".,;:!?\"'()") in stop_words for w in words) / len(words)
     if len(block.text) < SHORT:
-        return "short"
+        # A line of copyright below a page without an article.
+        return "bad" if "©" in block.text and not block.inside_article else "short"
     if share >= STOP_HIGH:
         return "good" if len(block.text) >= LONG else "near"
     if share >= STOP_LOW:
@@ -220,25 +309,28 @@ def _first_pass(block: Block, stop_words: frozenset[str]) -> str:
     return "near" if block.inside_article else "bad"
 
 
-def _holders(blocks: list[Block], stop_words: frozenset[str]) -> set[int]:
-    """Named parts that hold the page's article: text of an article or main
-    element, or most of the page's good text, and no good text of an article
-    or main element is outside."""
+def _holders(blocks: list[Block], parts: list[Part], stop_words: frozenset[str]) -> list[bool]:
+    """For each named part, whether it holds the page's article: text of an
+    article or main element, or most of the page's good text, and no good text
+    of an article or main element is outside."""
     labels = [_first_pass(b, stop_words) for b in blocks]
     wanted = "good" if "good" in labels else "near"
-    good = [b for b, label in zip(blocks, labels, strict=True) if label == wanted]
-    total, found = sum(len(b.text) for b in good), set()
-    for number, may_hold in {n for b in good for n in b.named}:
-        inside = [b for b in good if any(n == number for n, _ in b.named)]
-        # An element below the part, not around it.
-        below = any(b.article_at >= [n for n, _ in b.named].index(number) + 1 for b in inside)
-        most = may_hold and 2 * sum(len(b.text) for b in inside) > total
-        if (below or most) and not any(b.inside_article for b in good if all(n != number for n, _ in b.named)):
-            found.add(number)
-    return found
-
-
-def classify(blocks: list[Block], stop_words: frozenset[str]) -> None:
+    chars, articles, below = ([0] * len(parts) for _ in range(3))
+    for block, label in zip(blocks, labels, strict=True):
+        if label == wanted:
+            chars[block.part] += len(block.text)
+            articles[block.part] += block.inside_article
+            below[block.article_part] += 1  # an article in the part, not around it
+    for number in range(len(parts) - 1, 0, -1):  # a part is numbered before those in it
+        for sums in (chars, articles, below):
+            sums[parts[number].around] += sums[number]
+    return [
+        (below[i] > 0 or (part.may_hold and 2 * chars[i] > chars[0])) and articles[i] == articles[0]
+        for i, part in enumerate(parts)
+    ]
+
+
+def classify(blocks: list[Block], parts: list[Part], stop_words: frozenset[str]) -> None:
     """Sets ``label`` of each block to good or bad.
 
     An undecided block takes the label its nearest decided neighbours share.
@@ -247,10 +339,13 @@ def classify(blocks: list[Block], stop_words: frozenset[str]) -> None:
     Without any decided neighbour, near-good blocks and those inside an
     article are good.
     """
-    if any(b.named for b in blocks):
-        holders = _holders(blocks, stop_words)
+    if len(parts) > 1:
+        read = _holders(blocks, parts, stop_words)
+        read[0] = True
+        for number in range(1, len(parts)):
+            read[number] = read[number] and read[parts[number].around]
         for block in blocks:
-            block.boilerplate |= any(n not in holders for n, _ in block.named)
+            block.boilerplate |= not read[block.part]
     for block in blocks:
         block.label = _first_pass(block, stop_words)
     decided = [(i, b.label) for i, b in enumerate(blocks) if b.label in ("good", "bad")]
@@ -280,9 +375,9 @@ def classify(blocks: list[Block], stop_words: frozenset[str]) -> None:
 
 
 def main_text(page: str, stop_words: frozenset[str]) -> str:
-    blocks = blocks_of(page)
-    classify(blocks, stop_words)
-    return " ".join(b.text for b in blocks if b.label == "good")
+    reader = _page(page)
+    classify(reader.blocks, reader.named, stop_words)
+    return " ".join(b.text for b in reader.blocks if b.label == "good")
 
 
 def stop_word_list(spark: SparkSession, languages: tuple[str, ...] = LANGUAGES) -> frozenset[str]:
@@ -294,8 +389,9 @@ def extract_text(pages: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> Da
     """``page_id, url, text, n_chars`` of each row.
 
     NULL and empty pages, and pages without an article, have an empty text.
-    Pages are read whole; repeated rows are read each; other columns are not
-    read.
+    Pages are read whole, in time linear to their length however broken their
+    markup; repeated rows are read each; other columns are not read.  A short
+    line with a copyright sign is left out only outside an article.
     """
     stop_words = stop_word_list(pages.sparkSession, languages)
 
