@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import crc_class, map_batches, table
@@ -137,23 +137,27 @@ def cut_windows(text: bytes) -> np.ndarray:
 def sample_windows(docs: DataFrame, per_language: int = PER_LANGUAGE, each: int = WINDOWS_EACH) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Training windows of at most ``per_language`` documents of each language.
 
-    Documents are drawn by a hash of their id and text, windows at hashed
-    places of the whole text and in several lengths.  At most
-    ``per_language * each`` windows a language reach the driver.
+    Those with the least hashes of id and text are drawn, windows at hashed
+    places of the whole text and in several lengths.  Rows that repeat id and
+    text are drawn once.  At most ``per_language`` rows a language leave a
+    task, and at most as many reach the driver.
     """
-    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return np.empty((0, WINDOW), np.uint8), np.empty(0, np.int64), []
-    ticket = F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 40)), F.lit(1_000_000))
-    share: Column = F.lit(None).cast("double")
-    for lang, n in sorted(counts.items()):
-        share = F.when(F.col("lang") == lang, min(1.0, 1.3 * per_language / n) * 1_000_000).otherwise(share)
+    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select(
+        "lang", F.xxhash64("doc_id", "text").alias("ticket"), "text"
+    )
+    # Spark keeps the first rows of each task before it shuffles them.
+    drawn = (
+        usable.select("lang", "ticket")
+        .distinct()
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("ticket")))
+        .where(F.col("place") <= per_language)
+        .select("lang", "ticket")
+    )
 
     def pick(tickets: list, langs: list, texts: list) -> dict:
         cut = []
         for mark, text in zip(tickets, texts, strict=True):
-            draw = np.random.default_rng(mark)
+            draw = np.random.default_rng(mark & (2**64 - 1))
             parts = []
             for length in (WINDOW, WINDOW, WINDOW // 2, WINDOW // 5)[:each]:
                 start = int(draw.integers(0, max(1, len(text) - length + 1)))
@@ -161,13 +165,14 @@ def sample_windows(docs: DataFrame, per_language: int = PER_LANGUAGE, each: int
             cut.append(b"".join(parts))
         return {"ticket": tickets, "lang": [x.decode() for x in langs], "cut": cut}
 
-    drawn = usable.select(ticket.alias("ticket"), "lang", "text").where(F.col("ticket") < share)
-    rows = map_batches(drawn, "ticket bigint, lang string, cut binary", pick).collect()
-    languages = sorted(counts)
+    cuts = map_batches(
+        usable.join(drawn, ["lang", "ticket"], "left_semi").select("ticket", "lang", "text"), "ticket bigint, lang string, cut binary", pick
+    )
+    rows = cuts.groupBy("lang", "ticket").agg(F.first("cut").alias("cut")).collect()
+    languages = sorted({r.lang for r in rows})
     windows, labels = [], []
     for number, lang in enumerate(languages):
-        own = sorted((r.ticket, bytes(r.cut)) for r in rows if r.lang == lang)[:per_language]
-        for _, cut in own:
+        for _, cut in sorted((r.ticket, bytes(r.cut)) for r in rows if r.lang == lang):
             grid = np.frombuffer(cut, np.uint8).reshape(-1, WINDOW)
             windows.append(grid)
             labels += [number] * len(grid)
