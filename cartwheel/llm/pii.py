@@ -13,7 +13,9 @@ where the texts hold it for one gender only.  Surrogates keep the form: letters
 same case and script, digits stay digits, marks stay; cards keep their check
 digit right, phones their country prefix, names the gender of their title.
 A surrogate that equals another entity's surrogate or any real entity is drawn
-again with the next attempt number until all differ (distinctness).
+again with the next attempt number until all differ (distinctness).  Names grow
+by a syllable with each attempt, so their supply never ends; what keeps its
+format (addresses, numbers) has as many surrogates as the format has values.
 
 The texts are then cut at the entities and put together with the surrogates.
 Only texts with an entity take part in a shuffle.
@@ -160,21 +162,31 @@ def _email(value: Column, stream: Column, key: Column, attempt: Column) -> Colum
     return F.concat(_scrambled(local, stream), F.lit("@"), _scrambled(host, _stream(key, F.lit("host"), F.lower(host))), end)
 
 
-def _surname(word: Column, stream: Column) -> Column:
+def _syllables(script: str, stream: Column, at: int, count: Column) -> Column:
+    """``count`` syllables drawn from place ``at`` on."""
+    consonants, vowels = SYLLABLES[script]
+    one = lambda i: F.concat(_drawn(stream, at + 2 * i, consonants), _drawn(stream, at + 2 * i + 1, vowels))
+    return F.array_join(F.transform(F.sequence(F.lit(0), count - 1), one), "")
+
+
+def _surname(word: Column, stream: Column, attempt: Column) -> Column:
+    """Four syllables, and one more with each attempt: the supply grows with
+    the need."""
     made = F.lit("")
-    for script, (consonants, vowels) in SYLLABLES.items():
-        text = F.concat(*[_drawn(stream, F.lit(2 * i + j), (consonants, vowels)[j]) for i in range(4) for j in range(2)])
+    for script in SYLLABLES:
+        text = _syllables(script, stream, 0, 4 + attempt)
         made = F.when(script_of(word) == script, F.initcap(text)).otherwise(made)
     return F.when(word == F.upper(word), F.upper(made)).otherwise(made)
 
 
-def _given(word: Column, gender: Column, stream: Column) -> Column:
+def _given(word: Column, gender: Column, stream: Column, attempt: Column) -> Column:
+    """A name of the gender with two more syllables, and one more with each
+    attempt: the supply grows with the need."""
     made = F.lit("")
     for script, names in GIVEN.items():
         either = names["f"] + names["m"]
         drawn = F.when(gender == "f", _drawn(stream, F.lit(0), names["f"])).when(gender == "m", _drawn(stream, F.lit(0), names["m"]))
-        # Further syllables keep many given names of one gender apart.
-        ending = F.concat(*[_drawn(stream, F.lit(4 + i), SYLLABLES[script][i % 2]) for i in range(4)])
+        ending = _syllables(script, stream, 4, 2 + attempt)
         full = F.concat(drawn.otherwise(_drawn(stream, F.lit(0), either)), F.lit("-"), F.initcap(ending))
         made = F.when(script_of(word) == script, full).otherwise(made)
     return made
@@ -235,8 +247,8 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .when(kind == "phone", keep(prefix(COUNTRY)))
         .when(kind == "account", keep(prefix(r"^([A-Z]{2})")))
         .when(kind == "access", keep(prefix(r"^(....)")))
-        .when(kind == "surname", _surname(value, stream))
-        .when(kind.startswith("given_"), _given(value, F.substr(kind, F.lit(7)), stream))
+        .when(kind == "surname", _surname(value, stream, attempt))
+        .when(kind.startswith("given_"), _given(value, F.substr(kind, F.lit(7)), stream, attempt))
         .otherwise(scrambled)
     )
 
