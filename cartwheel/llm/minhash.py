@@ -317,6 +317,15 @@ def _merge_cells(cells: DataFrame, schema: str, percent: int, words: int) -> Dat
     return dealt.select(*names).mapInArrow(run, schema)
 
 
+def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of a doc_id with different sets to the representatives
+    of each."""
+    mark = F.xxhash64("digest")
+    several = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most")).where("least < most")
+    own = signed.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "digest").distinct()
+    return own.join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -331,25 +340,32 @@ def near_duplicates(
 
     NULL, empty or blank text: no shingles, linked with nothing, kept.  NULL
     ``doc_id``: component of the documents with an equal set, else NULL (and
-    kept).  Rows that share a ``doc_id`` are one node of the graph.  Other
-    columns are ignored.  No rows in, no rows out.
+    kept).  Rows that share a ``doc_id`` are one node of the graph: it is
+    linked with whatever one of its texts is linked with, in any order of the
+    rows.  Its different texts are compared with all of a partner's, so an id
+    is meant for few of them.  Other columns are ignored.  No rows in, no rows
+    out.
     """
     signed = staged(signatures(docs, bands, rows, words), "signatures")
-    classes = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    worded = signed.where("n_shingles > 0")
+    classes = worded.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     leads = staged(
-        signed.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "bands", "sketch"),
+        worded.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "bands", "sketch"),
         "representatives",
     )
     keyed = leads.select("doc_id", F.explode("bands").alias("key")).distinct()
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("leader")).where("members > 1")
     buckets = staged(keyed.join(shared.select("key", "leader"), "key"), "buckets")
-    sketches = leads.select("doc_id", "sketch").dropDuplicates(["doc_id"])
+    # More than one sketch where rows with different texts share the id.
+    sketches = leads.select("doc_id", "sketch").distinct()
 
     pairs = buckets.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
     likely = staged(_likely(pairs, sketches), "pairs")
     involved = buckets.select("doc_id").distinct()
     texts = staged(docs.select("doc_id", "text").where("text IS NOT NULL").join(involved, "doc_id", "left_semi"), "texts")
-    edges = staged(_confirm(likely, texts, percent, words), "links")
+    edges = staged(
+        _confirm(likely, texts, percent, words).unionByName(_same_id(worded, classes)).distinct(), "links"
+    )
     cells = _cells(buckets, connected_components(edges))
     likely_rows = staged(
         _merge_cells(
@@ -369,7 +385,6 @@ def near_duplicates(
         "digest", F.coalesce("component", "rep").alias("of_class")
     )
     placed = signed.select("doc_id", "n_shingles", "digest").join(rep_of, "digest", "left")
-    # A doc_id on several rows is one node: its rows share the least component.
     component = F.coalesce("of_class", "doc_id")
     return placed.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
