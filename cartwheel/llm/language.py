@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import crc_class, map_batches, table
+from cartwheel.session import staged
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -139,16 +140,21 @@ def sample_windows(docs: DataFrame, per_language: int = PER_LANGUAGE, each: int
 
     Those with the least hashes of id and text are drawn, windows at hashed
     places of the whole text and in several lengths.  Rows that repeat id and
-    text are drawn once.  At most ``per_language`` rows a language leave a
-    task, and at most as many reach the driver.
+    text are drawn once.  At most ``per_language`` rows a language are
+    sent to the tasks and reach the driver.
     """
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select(
         "lang", F.xxhash64("doc_id", "text").alias("ticket"), "text"
     )
-    # Spark keeps the first rows of each task before it shuffles them.
+    marks = staged(usable.select("lang", "ticket").distinct(), "tickets")
+    # Hashes below a bound that twice as many rows are expected to reach, so
+    # that the ranking of a language stays small however many rows it has.
+    bound: Column = F.lit(None).cast("bigint")
+    for row in marks.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect():
+        highest = min(2**63 - 1, -(2**63) + 2 * per_language * 2**64 // row.n)
+        bound = F.when(F.col("lang") == row.lang, F.lit(highest)).otherwise(bound)
     drawn = (
-        usable.select("lang", "ticket")
-        .distinct()
+        marks.where(F.col("ticket") <= bound)
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("ticket")))
         .where(F.col("place") <= per_language)
         .select("lang", "ticket")
@@ -166,7 +172,7 @@ def sample_windows(docs: DataFrame, per_language: int = PER_LANGUAGE, each: int
         return {"ticket": tickets, "lang": [x.decode() for x in langs], "cut": cut}
 
     cuts = map_batches(
-        usable.join(drawn, ["lang", "ticket"], "left_semi").select("ticket", "lang", "text"), "ticket bigint, lang string, cut binary", pick
+        usable.join(F.broadcast(drawn), ["lang", "ticket"], "left_semi").select("ticket", "lang", "text"), "ticket bigint, lang string, cut binary", pick
     )
     rows = cuts.groupBy("lang", "ticket").agg(F.first("cut").alias("cut")).collect()
     languages = sorted({r.lang for r in rows})
