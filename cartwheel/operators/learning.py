@@ -194,13 +194,15 @@ def compare_classifiers(
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fitted models by name and one row of metrics per model.
 
-    The feature preparation is fitted once; its output is kept for all
-    classifiers.
+    The feature preparation is fitted once; its output, label and features
+    alone, is kept for all classifiers.
     """
     classifiers = classifiers or session_classifiers()
     preparation = Pipeline(stages=session_stages()).fit(train)
-    train = preparation.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = preparation.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = (
+        preparation.transform(part).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        for part in (train, test)
+    )
     models, lines = {}, []
     for name, classifier in classifiers.items():
         fitted = classifier.fit(train)

@@ -1,7 +1,8 @@
 """Bronze views of the shop over generic order, customer, part and event tables.
 
 Every view is a projection of one table (customers also look up their nation),
-so none of them shuffles rows or gathers a group into one row.  FIXTURES.md
+so none of them gathers a group into one row.  Only the rows of a large event
+table are shuffled, before they become records.  FIXTURES.md
 lists the column rules.
 """
 
@@ -11,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.schemas import ACTION
+from cartwheel.session import spread
+
+#: An event is some 60 bytes, the record made of it a kilobyte and more.
+EVENTS_PER_TASK = 25_000
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -203,7 +208,7 @@ def _choice(selector: str, *choices: str | None) -> str:
 def activity_logs(spark: SparkSession, folder: str) -> DataFrame:
     """One nested session record per event."""
     base = (
-        _read(spark, folder, "events")
+        spread(_read(spark, folder, "events"), EVENTS_PER_TASK, "event_id", "ts", "user_id")
         .selectExpr("*", "CAST(get_json_object(props, '$.k') AS int) AS k")
         # Exploding a one-element array makes the actions a plain column, so
         # filters on them do not build them once more.
