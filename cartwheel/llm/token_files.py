@@ -161,7 +161,9 @@ def count_tokens(docs: DataFrame, folder: str | None = None, ranks: str = RANKS,
     order = write_token_files(docs, folder, ranks, separator)
     files = order.select("file", "n_bytes").distinct()
     counts = stitched(scan_blocks(files, folder, separator, block_bytes))
-    return order.join(counts, ["file", "number"]).select("doc_id", "n_tokens")
+    # Spark takes the counts for as small as the blocks they are unpacked from
+    # and would send a row for each document through the driver.
+    return order.join(counts.hint("merge"), ["file", "number"]).select("doc_id", "n_tokens")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

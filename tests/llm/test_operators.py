@@ -198,6 +198,13 @@ def test_token_counts(docs, block_bytes):
     assert Counter((r.doc_id, r.n_tokens) for r in got.collect()) == want
 
 
+def test_token_counts_are_not_sent_through_the_driver(docs):
+    got = token_files.count_tokens(docs)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_token_counts_of_nothing(empty):
     assert token_files.count_tokens(empty).collect() == []
 
