@@ -1,14 +1,16 @@
 """Steps whose tasks, calls or files must not grow with the input."""
 
 import datetime as dt
+import os
 import random
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cartwheel.plans import stored_queries
 from cartwheel.plans.queries import Shop
-from cartwheel.session import INITIAL, spread
+from cartwheel.session import INITIAL, Scratch, spread
 from cartwheel.sources import shop_tables
 from cartwheel.streaming import deliveries, ingest
 from tests.logs import action, frame, session
@@ -89,3 +91,53 @@ def test_landed_days_get_few_files(spark, folder):
     ingest.ingest_logs(spark, f"{folder}/in", f"{folder}/logs", f"{folder}/c")
     logs = spark.read.parquet(f"{folder}/logs")
     assert logs.count() == 20 and len(logs.inputFiles()) == 5
+
+
+def test_copies_end_with_their_block(spark):
+    with pytest.raises(ValueError):
+        with Scratch(spark) as scratch:
+            kept = scratch.keep(spark.range(10), "kept")
+            scratch.keep(spark.range(5), "dropped")
+            paths = dict(scratch.paths)
+            scratch.drop("dropped")
+            assert kept.count() == 10 and os.path.exists(paths["kept"]) and not os.path.exists(paths["dropped"])
+            raise ValueError
+    assert not any(map(os.path.exists, paths.values()))
+
+
+def test_a_merge_leaves_no_copies_in_the_shared_folder(spark, folder):
+    shared = f"{spark.conf.get('spark.checkpoint.dir')}/cartwheel"
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
+    for n in range(2):
+        for at in range(3):
+            late = frame(spark, session(f"s{at}", n, actions=[action("view", 0)])).drop("ingest_date")
+            late.withColumn("delivered_at", F.lit(f"2024-01-0{n + 2} 12:00:00").cast("timestamp")).write.mode("append").json(f"{folder}/in", compression="gzip")
+        deliveries.merge_deliveries(spark, f"{folder}/in", f"{folder}/s", f"{folder}/a", f"{folder}/c")
+    assert sorted(r.user_id for r in spark.read.parquet(f"{folder}/s").collect()) == [1, 1, 1]
+    assert spark.read.parquet(f"{folder}/a").count() == 3
+    assert set(os.listdir(shared) if os.path.exists(shared) else ()) == before
+
+
+def test_lines_are_only_shuffled_if_a_session_has_several(spark):
+    def newest(*lines):
+        rows = deliveries._newest_lines(spark.createDataFrame([*lines], "session_id string, sent bigint, content bigint, value string"))
+        return sorted(r.value for r in rows.collect()), "Exchange" in rows._jdf.queryExecution().executedPlan().toString()
+
+    assert newest(("a", 1, 1, "u"), ("b", 1, 1, "v"), (None, 1, 1, "w"), (None, 1, 1, "w")) == (["u", "v", "w", "w"], False)
+    assert newest(("a", 1, 2, "u"), ("a", 2, 1, "v"), ("a", 2, 1, "t"), (None, 1, 1, "w")) == (["v", "w"], True)
+
+
+def test_the_settings_of_the_stream_do_not_stay(spark, folder):
+    before = {key: spark.conf.get(key) for key in deliveries.STREAM}
+    frame(spark, session("a", 1)).drop("ingest_date").withColumn("delivered_at", F.lit("2024-01-01 12:00:00").cast("timestamp")).write.json(f"{folder}/in")
+    deliveries.merge_deliveries(spark, f"{folder}/in", f"{folder}/s", f"{folder}/a", f"{folder}/c")
+    assert {key: spark.conf.get(key) for key in deliveries.STREAM} == before
+
+
+def test_landed_deliveries_are_packed(spark, folder, monkeypatch):
+    events = spark.range(60).selectExpr("id AS event_id", "timestamp'2024-01-01 10:00:00' AS ts", "id % 7 AS user_id", "'purchase' AS event_type", "1D AS value", """concat('{"k": ', id, '}') AS props""")
+    events.write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(stored_queries, "shared_dir", lambda spark, label: f"{folder}/{label}")
+    assert stored_queries.stream_late_deliveries(Shop(spark, folder)).count() > 0
+    landed = [name for name in os.listdir(f"{folder}/landing") if name.startswith("part-")]
+    assert landed and all(name.endswith(".json.gz") for name in landed)
